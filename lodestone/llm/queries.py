@@ -36,3 +36,29 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
 }
+
+
+def _fold(modulus: int):
+    """crc32 of doc_id as text, modulo; a null doc_id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import encoded
+
+    docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encoded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), digests=True, keep_text=False)
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, languages
+
+    docs = c.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = _fold(4) == 2
+    model = fit(docs.where(~held_out))
+    return languages(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep_text=False)
+
+
+QUERIES |= {"op4_bpe": op4_bpe, "op8_language": op8_language}
