@@ -62,3 +62,15 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op4_bpe": op4_bpe, "op8_language": op8_language}
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, scored
+
+    docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _fold(3) == 1
+    model = fit(docs.where(~held_out), c.table(spark, sf_dir, "labels").where(~held_out))
+    return scored(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep_text=False).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+QUERIES["op5_toxicity"] = op5_toxicity
