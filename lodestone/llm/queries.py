@@ -74,3 +74,37 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_toxicity"] = op5_toxicity
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edits
+
+    return edits(c.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op3_fingerprint"] = op3_fingerprint
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    return round_trip(c.table(spark, sf_dir, "pages").select("page_id", "url", "html"), c.scratch(spark))
+
+
+QUERIES["op10_warc"] = op10_warc
+ORACLE_SQL["op10_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM q"""
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find, report
+
+    return report(find(c.table(spark, sf_dir, "documents").select("doc_id", "text"), c.scratch(spark)), ["doc_id"])
+
+
+QUERIES["op6_pii"] = op6_pii
