@@ -170,7 +170,7 @@ def components(edges: DataFrame, folder: str, rounds: int = 60) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct("b", F.col("m").alias("b")))).alias("e")).select("e.*").toDF("a", "b")
+        small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").toDF("a", "b")
         edges = materialise(small.where("a <> b").distinct(), folder, f"edges{turn}")
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == last:

@@ -108,3 +108,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_pii"] = op6_pii
+
+
+def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(c.table(spark, sf_dir, "documents").select("doc_id", "text"), c.scratch(spark))
+
+
+QUERIES["op7_neardup"] = op7_neardup
