@@ -117,3 +117,14 @@ def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_neardup"] = op7_neardup
+
+
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import scored
+
+    docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = _fold(7) == 2
+    return scored(docs.select("doc_id", held_out.alias("held_out"), "text"), ~F.col("held_out"), c.scratch(spark))
+
+
+QUERIES["op2_ppm"] = op2_ppm
