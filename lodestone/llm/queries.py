@@ -128,3 +128,12 @@ def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_ppm"] = op2_ppm
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import remove_repeats
+
+    return remove_repeats(c.table(spark, sf_dir, "documents").select("doc_id", "text"), c.scratch(spark), digests=True)
+
+
+QUERIES["op9_substrings"] = op9_substrings
