@@ -24,8 +24,12 @@ from . import common as c
 SIZE, PIECE = 100, 32
 _PLACE = np.uint64(30)
 _SEED = np.uint64(0x8F14A3B27C5D9E61)
-#: Rows of mixed segments up to which they are broadcast to the texts instead of joined by shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows (segments, spans) up to which they are broadcast to the texts instead of joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Bits of the broadcast bitmap that spares most single pieces their shuffle, whatever their number.
+BITMAP_BITS = 28
+#: Offsets of a window's minimiser, in four bins.
+BINS = ((0, 16), (17, 33), (34, 50), (51, 68))
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -43,10 +47,14 @@ def _spans_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
 
 
 def segments(data: np.ndarray, bounds: np.ndarray, size: int = SIZE, piece: int = PIECE):
-    """(row, piece hash, segment hash, first window, last window) of each segment, in row's bytes."""
+    """(row, piece hash, segment hash, first window, last window, minimiser, inner hashes) of each
+    segment, places in row's bytes.
+
+    All windows of a bin of minimiser offsets share inner bytes; 16 bits of their hash for each of
+    the four bins tell which bins can hold equal windows at all."""
     none = np.zeros(0, np.int64)
     if len(data) < size:
-        return none, none, none, none, none
+        return (none,) * 7
     prefix = c.prefix_hashes(data)
     hashes = c.window_hashes(prefix, slice(None), piece)
     key = ((hashes >> _PLACE) << _PLACE) | np.arange(len(hashes), dtype=np.uint64)
@@ -56,7 +64,7 @@ def segments(data: np.ndarray, bounds: np.ndarray, size: int = SIZE, piece: int
     rows = np.repeat(np.arange(len(room)), room)
     starts = np.arange(len(rows)) + np.repeat(bounds[:-1] - (np.cumsum(room) - room), room)
     if not len(starts):
-        return none, none, none, none, none
+        return (none,) * 7
     own = least[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (own[1:] != own[:-1]) | (rows[1:] != rows[:-1])
@@ -64,7 +72,12 @@ def segments(data: np.ndarray, bounds: np.ndarray, size: int = SIZE, piece: int
     low, high, a = starts[at], starts[np.append(at[1:], len(starts)) - 1], own[at]
     whole = _spans_hash(prefix, low, high + size, np.uint64(0)) ^ c.mix((a - low).astype(np.uint64) + _SEED)
     base = bounds[rows[at]]
-    return rows[at], hashes[a].view(np.int64), whole.view(np.int64), low - base, high - base
+    inner = np.zeros(len(a), np.uint64)
+    for j, (near, far) in enumerate(BINS):
+        has = (a - low >= near) & (a - high <= far)
+        x = a[has]
+        inner[has] |= (_spans_hash(prefix, x - near, x + size - far, np.uint64(21 + j)) >> np.uint64(48)) << np.uint64(16 * j)
+    return rows[at], hashes[a].view(np.int64), whole.view(np.int64), low - base, high - base, a - base, inner.view(np.int64)
 
 
 class Suffixes:
@@ -142,15 +155,32 @@ def _windows(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
 
 
-def _anchors(texts: DataFrame, size: int) -> DataFrame:
+def _anchors(texts: DataFrame, size: int, bitmap=None) -> DataFrame:
+    """The segments of all texts; with a bitmap, those whose piece may be in it. Without, pieces only."""
+    schema = "ah long, sh long, k long, th long, low int, high int, at int, inner long" if bitmap else "ah long"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.shards(batches, "text"):
             data, bounds = c.text_bytes(batch.column("text"))
-            rows, piece, whole, low, high = segments(data, bounds, size)
-            take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(whole), batch.column("k").take(take), batch.column("th").take(take), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["ah", "sh", "k", "th", "low", "high"])
+            rows, piece, whole, low, high, at, inner = segments(data, bounds, size)
+            if not bitmap:
+                yield pa.RecordBatch.from_arrays([pa.array(piece)], ["ah"])
+                continue
+            slot = piece & ((1 << BITMAP_BITS) - 1)
+            has = np.flatnonzero((bitmap.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1))
+            take = pa.array(rows[has])
+            yield pa.RecordBatch.from_arrays([pa.array(piece[has]), pa.array(whole[has]), batch.column("k").take(take), batch.column("th").take(take), *(pa.array(x[has].astype(np.int32)) for x in (low, high, at)), pa.array(inner[has])], ["ah", "sh", "k", "th", "low", "high", "at", "inner"])
+
+    return texts.mapInArrow(run, schema)
 
-    return texts.mapInArrow(run, "ah long, sh long, k long, th long, low int, high int")
+
+def _bitmap(hashes: DataFrame):
+    """A broadcast bitmap of BITMAP_BITS bits: of bounded size, made of the words that have bits."""
+    slot = F.col("ah").bitwiseAND((1 << BITMAP_BITS) - 1)
+    held = hashes.select(F.shiftright(slot, 6).alias("w"), F.expr(f"shiftleft(1L, cast((ah & {(1 << BITMAP_BITS) - 1}) & 63 as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    words = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    words[held.column("w").to_numpy()] = held.column("b").to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(words)
 
 
 def _mixed_windows(texts: DataFrame, size: int) -> DataFrame:
@@ -183,9 +213,9 @@ def _mixed_windows(texts: DataFrame, size: int) -> DataFrame:
             one = _spans_hash(suffixes.prefix, ordered, ordered + size, np.uint64(11)).view(np.int64)
             two = _spans_hash(suffixes.prefix, ordered, ordered + size, np.uint64(12)) ^ c.mix(data[ordered].astype(np.uint64) | data[ordered + size - 1].astype(np.uint64) << np.uint64(8) | data[ordered + size // 2].astype(np.uint64) << np.uint64(16))
             out = first | later
-            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (one, two.view(np.int64), k[row], th[row], place.astype(np.int32), later)], ["w1", "w2", "k", "th", "p", "removed"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (one, (two >> np.uint64(33)).astype(np.int32), k[row], th[row], place.astype(np.int32), later)], ["w1", "w2", "k", "th", "p", "removed"])
 
-    return texts.mapInArrow(run, "w1 long, w2 long, k long, th long, p int, removed boolean")
+    return texts.mapInArrow(run, "w1 long, w2 int, k long, th long, p int, removed boolean")
 
 
 def repeated_spans(texts: DataFrame, folder: str, size: int = SIZE) -> DataFrame:
@@ -193,15 +223,18 @@ def repeated_spans(texts: DataFrame, folder: str, size: int = SIZE) -> DataFrame
 
     Every step is an aggregate with pre-aggregation or a join by hash of materialised sides, which
     adaptive execution splits where a piece stands in a third of all documents."""
-    anchors = _anchors(texts, size)
-    again = c.materialise(anchors.groupBy("ah").agg(F.count("*").alias("n")).where("n > 1").select("ah"), folder, "again")
-    repeated = c.materialise(anchors.join(again, "ah", "left_semi"), folder, "repeated")
+    again = c.materialise(_anchors(texts, size).groupBy("ah").agg(F.count("*").alias("n")).where("n > 1").select("ah"), folder, "again")
+    repeated = c.materialise(_anchors(texts, size, _bitmap(again)).join(again, "ah", "left_semi"), folder, "repeated")
     order = F.struct("k", "th", "low")
-    kinds = c.materialise(repeated.groupBy("ah", "sh").agg(F.min(order).alias("f"), F.min_by("high", order).alias("fh"), F.count("*").alias("n")), folder, "kinds")
+    kinds = c.materialise(repeated.groupBy("ah", "sh").agg(F.min(order).alias("f"), F.min_by(F.struct("high", "at"), order).alias("g"), F.first("inner").alias("inner"), F.count("*").alias("n")), folder, "kinds")
     later = repeated.join(kinds.where("n > 1").select("ah", "sh", "f"), ["ah", "sh"]).where(order != F.col("f"))
     whole = later.select("k", "th", F.col("low").alias("s"), (F.col("high") + size).alias("e"))
-    unlike = c.materialise(kinds.groupBy("ah").agg(F.count("*").alias("d")).where("d > 1").select("ah"), folder, "unlike")
-    mixed = kinds.join(unlike, "ah", "left_semi").select("f.k", "f.th", "f.low", F.col("fh").alias("high"))
+    # of pieces with unlike segments, the bins whose inner bytes stand in two of them
+    bins = F.array(*[F.struct(F.lit(j).alias("j"), F.shiftright("inner", 16 * j).bitwiseAND(0xFFFF).alias("x"), F.greatest(F.col("f.low"), F.col("g.at") - far).alias("low"), F.least(F.col("g.high"), F.col("g.at") - near).alias("high")) for j, (near, far) in enumerate(BINS)])
+    unlike = kinds.groupBy("ah").agg(F.count("*").alias("d")).where("d > 1").select("ah")
+    spread = c.materialise(kinds.join(unlike, "ah", "left_semi").select("ah", "f.k", "f.th", F.explode(bins).alias("b")).where("b.low <= b.high").select("ah", "k", "th", "b.*"), folder, "bins")
+    shared = spread.groupBy("ah", "j", "x").agg(F.count("*").alias("d")).where("d > 1").select("ah", "j", "x")
+    mixed = spread.join(shared, ["ah", "j", "x"], "left_semi")
     own = c.materialise(mixed.groupBy("k", "th").agg(F.collect_list(F.struct("low", "high")).alias("own")), folder, "own")
     rows = own.agg(F.sum(F.size("own"))).first()[0] or 0
     chosen = texts.join(F.broadcast(own) if rows <= BROADCAST_ROWS else own, ["k", "th"])
@@ -213,6 +246,29 @@ def repeated_spans(texts: DataFrame, folder: str, size: int = SIZE) -> DataFrame
     return whole.union(single.select("k", "th", F.col("p").alias("s"), (F.col("p") + size).alias("e")))
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """The lists of spans, each as its maximal runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("spans")
+            counts = lists.value_lengths().fill_null(0).to_numpy()
+            flat = lists.flatten()
+            s, e = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("s", "e"))
+            rows = np.repeat(np.arange(batch.num_rows), counts)
+            order = np.lexsort((s, rows))
+            rows, s, e = rows[order], s[order] + (rows[order] << 32), e[order] + (rows[order] << 32)
+            reach = np.maximum.accumulate(e) if len(e) else e
+            new = np.append(True, s[1:] > reach[:-1]) if len(s) else np.zeros(0, bool)
+            at = np.flatnonzero(new)
+            low, high = s[at] & (2**32 - 1), reach[np.append(at[1:], len(s)) - 1] & (2**32 - 1) if len(s) else s
+            edges = np.searchsorted(rows[at], np.arange(batch.num_rows + 1))
+            pairs = pa.StructArray.from_arrays([pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["s", "e"])
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("th"), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pairs)], ["k", "th", "spans"])
+
+    return spans.mapInArrow(run, "k long, th long, spans array<struct<s:int,e:int>>")
+
+
 def remove_repeats(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", size: int = SIZE, digests: bool = False) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, and kept (binary) or, with ``digests``, kept_sha256.
 
@@ -224,8 +280,9 @@ def remove_repeats(docs: DataFrame, folder: str, key: str = "doc_id", text: str
     twice = docs.groupBy(F.col(f"`{key}`")).agg(F.count("*").alias("n")).where("n > 1").limit(1).count() > 0
     keyed = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(2**63 - 1)).alias("k"), (F.xxhash64(text_) if twice else F.lit(0)).cast("long").alias("th"), text_.alias("text"))
     spans = repeated_spans(keyed.select("k", "th", "text"), folder, size)
-    own = spans.groupBy("k", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    joined = keyed.join(own, ["k", "th"], "left").select(F.col("key").alias(key), "text", "spans")
+    own = c.materialise(_merged(spans.groupBy("k", "th").agg(F.collect_list(F.struct("s", "e")).alias("spans"))), folder, "spans")
+    rows = own.agg(F.sum(F.size("spans"))).first()[0] or 0
+    joined = keyed.join(F.broadcast(own) if rows <= BROADCAST_ROWS else own, ["k", "th"], "left").select(F.col("key").alias(key), "text", "spans")
     schema = T.StructType([joined.schema[0], *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_sha256" if digests else "kept", T.StringType() if digests else T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
