@@ -155,14 +155,19 @@ def window_hashes(prefix: np.ndarray, starts: np.ndarray | slice, size: int) ->
 
 
 # ---------------------------------------------------------- graph of documents
+#: Links in one file, and so in one task, of the tables between the turns below.
+EDGES_A_FILE = 400_000
+
+
 def components(edges: DataFrame, folder: str, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node it is joined to.
 
     Alternates the two star steps (every neighbour to the least; then the lesser ones to the
     least), as DataFrame joins written to the shared folder after each turn, until no edge
     changes. No group is gathered in one task: all steps are aggregates and joins by node."""
-    edges = edges.select("a", "b").where("a <> b").distinct()
-    edges = materialise(edges, folder, "edges")
+    edges = materialise(edges.select("a", "b").where("a <> b").distinct(), folder, "edges")
+    files = max(1, -(-edges.count() // EDGES_A_FILE))  # the links only get fewer
+    edges = edges.coalesce(files)
     last = None
     for turn in range(rounds):
         both = edges.union(edges.select(F.col("b"), F.col("a")))
@@ -171,7 +176,7 @@ def components(edges: DataFrame, folder: str, rounds: int = 60) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*").toDF("a", "b")
-        edges = materialise(small.where("a <> b").distinct(), folder, f"edges{turn}")
+        edges = materialise(small.where("a <> b").distinct().coalesce(files), folder, f"edges{turn}")
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == last:
             break

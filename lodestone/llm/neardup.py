@@ -26,7 +26,7 @@ WORDS, LEAST = 5, 0.8
 BANDS, ROWS = 32, 5
 #: Buckets of up to so many members are compared in full at once; larger ones in rounds.
 SMALL = 8
-ROUNDS = 4
+ROUNDS = 2
 _SEED = np.random.default_rng(77).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -154,6 +154,21 @@ def _sets(docs: DataFrame, size: int, counted: bool) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node binary, items array<long>")
 
 
+def _counts(sets: DataFrame, cells: int = 128) -> DataFrame:
+    """(node, size, counts): how many items fall into each cell of their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("items")
+            size = lists.value_lengths().fill_null(0).to_numpy()
+            rows = np.repeat(np.arange(batch.num_rows), size)
+            cell = lists.flatten().to_numpy(zero_copy_only=False) & (cells - 1)
+            table = np.bincount(rows * cells + cell, minlength=batch.num_rows * cells).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(size.astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * cells, pa.int32()), pa.array(table))], ["node", "size", "counts"])
+
+    return sets.mapInArrow(run, "node binary, size int, counts array<int>")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of at least ``least``."""
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -167,38 +182,43 @@ def links(buckets: DataFrame, sets: DataFrame, folder: str, least: float = LEAST
     """Verified links (a, b) that join every pair of similar nodes that share a bucket, up to
     connection, from ``buckets`` (band, h, node).
 
-    Small buckets: all pairs. Larger ones: each member with the bucket's centre, in rounds of
-    other centres; a bucket is done when its members are connected. What is left after the
-    rounds is compared in full, only between different components."""
-    sized = buckets.groupBy("band", "h").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1")
-    held = c.materialise(buckets.join(sized.drop("centre"), ["band", "h"]), folder, "buckets")
+    Small buckets: all pairs. Larger ones: each member with the bucket's centre, first the
+    member that shares most buckets with others, then another one; a bucket is done when its
+    members are connected. What is left is compared in full: every pair of different components
+    once, in its first common bucket, and with exact sets where the pair's counts of shingles by
+    hash, whose differences are at most those of the sets, still allow the similarity."""
+    sized = buckets.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1")
+    held = c.materialise(buckets.join(sized, ["band", "h"]), folder, "buckets")
     few = held.where(F.col("n") <= SMALL).groupBy("band", "h").agg(F.array_sort(F.collect_set("node")).alias("m"))
     pairs = few.select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(F.slice("m", i + 2, F.greatest(F.size("m") - i - 1, F.lit(0))), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.*")
-    large = held.where(F.col("n") > SMALL).select("band", "h", "node")
     done = c.materialise(_verified(pairs.distinct(), sets, least), folder, "links-small")
-    for turn in range(ROUNDS + 1):
-        if large.isEmpty():
-            break
-        roots = c.components(done, f"{folder}/r{turn}") if turn else None
-        open_ = large
-        if roots is not None:
-            rooted = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            spread = rooted.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "h")
-            open_ = c.materialise(rooted.join(spread, ["band", "h"]), folder, f"open{turn}")
-            if open_.isEmpty():
-                break
-            large = open_.select("band", "h", "node")
-        else:
-            open_ = open_.withColumn("root", F.col("node"))
-        if turn < ROUNDS:
-            order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            centre = open_.groupBy("band", "h").agg(F.min_by("node", order).alias("b"), F.min_by("root", order).alias("broot"))
-            asked = open_.join(centre, ["band", "h"]).where("node <> b and root <> broot").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-        else:
-            other = open_.select("band", "h", F.col("node").alias("b"), F.col("root").alias("broot"))
-            asked = open_.join(other, ["band", "h"]).where("root < broot").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
+    large = held.where(F.col("n") > SMALL)
+    mass = large.groupBy("node").agg(F.sum("n").alias("mass"))
+    open_ = c.materialise(large.join(mass, "node").select("band", "h", "node", "mass", F.col("node").alias("root")), folder, "open0")
+    for turn in range(ROUNDS):
+        if open_.isEmpty():
+            return done
+        order = F.struct(F.col("mass") if turn == 0 else F.xxhash64("node"), F.col("node"))
+        centre = open_.groupBy("band", "h").agg(F.max_by("node", order).alias("centre"), F.max_by("root", order).alias("other"))
+        asked = open_.join(centre, ["band", "h"]).where("node <> centre and root <> other").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
         done = c.materialise(done.union(_verified(asked.distinct(), sets, least)), folder, f"links{turn}")
-    return done
+        roots = c.components(done, f"{folder}/round{turn}")
+        rooted = open_.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        spread = rooted.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "h")
+        open_ = c.materialise(rooted.join(spread, ["band", "h"]).select("band", "h", "node", "mass", "root"), folder, f"open{turn + 1}")
+    if open_.isEmpty():
+        return done
+    own = open_.groupBy("node").agg(F.array_sort(F.collect_set(F.xxhash64("band", "h"))).alias("own"))
+    counts = _counts(sets.join(own.select("node"), "node", "left_semi"))
+    rows = c.materialise(open_.join(own, "node").join(counts, "node").select("band", "h", "node", "root", "own", "size", "counts"), folder, "rest")
+    main = open_.groupBy("band", "h", "root").agg(F.count("*").alias("n")).groupBy("band", "h").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    minor = rows.join(main, ["band", "h"]).where("root <> main")
+    other = rows.join(main, ["band", "h"]).select(*[F.col(x).alias(f"{x}2") for x in rows.columns], (F.col("root") == F.col("main")).alias("is_main"))
+    apart = F.aggregate(F.zip_with("counts", "counts2", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda x, y: x + y)
+    first = F.get(F.array_intersect("own", "own2"), F.lit(0))
+    asked = minor.join(other, (F.col("band") == F.col("band2")) & (F.col("h") == F.col("h2")) & (F.col("is_main") | (F.col("root") < F.col("root2"))) & (F.col("root") != F.col("root2")) & (first == F.xxhash64("band", "h")) & (apart * (1 + least) <= (F.col("size") + F.col("size2")) * (1 - least) + 1e-9))
+    asked = c.materialise(asked.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")), folder, "asked")
+    return c.materialise(done.union(_verified(asked.distinct(), sets, least)), folder, "links-rest")
 
 
 def classes(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", words: int = WORDS, least: float = LEAST, counted: bool = False, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
