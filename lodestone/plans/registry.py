@@ -1,10 +1,441 @@
-"""Registered queries and the SQL that gives the same rows."""
+"""Registered queries over the driver's tables, each beside SQL that gives the same rows."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+from lodestone.functions import text as tx
+from lodestone.operators import linkage, metrics, records
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Registers a function of (t), where t(name) reads a table."""
+
+    def add(build: Callable) -> Callable:
+        QUERIES[name] = lambda spark, sf_dir: build(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        if sql:
+            ORACLE_SQL[name] = sql
+        return build
+
+    return add
+
+
+def long(column) -> F.Column:
+    return (F.col(column) if isinstance(column, str) else column).cast("long")
+
+
+# ------------------------------------------------------------ filters, predicates
+GROUPS = [["the", "und", "les"], ["and", "der", "que"]]
+_HAS = "regexp_matches({0}, '(?i)(^|[^\\w])({1})($|[^\\w])')"
+
+
+@query("f04_accepts_term_groups", f"SELECT doc_id FROM documents WHERE {_HAS.format('text', 'the|und|les')} AND {_HAS.format('text', 'and|der|que')}")
+def _(t):
+    return t("documents").where(tx.accepts(F.col("text"), GROUPS)).select("doc_id")
+
+
+@query("f03_candidate_any_group", f"SELECT doc_id, {_HAS.format('text', 'was|von')} AS candidate FROM documents")
+def _(t):
+    return t("documents").select("doc_id", tx.any_term(F.col("text"), ["was", "von"]).alias("candidate"))
+
+
+@query("f02_excludes_title", f"SELECT page_id FROM pages WHERE {_HAS.format('url', 'wiki|blog|index')}")
+def _(t):
+    return t("pages").where(tx.any_term(F.col("url"), ["wiki", "blog", "index"])).select("page_id")
+
+
+@query("f06_same_numbers", "WITH n AS (SELECT doc_id, list_sort(regexp_extract_all(text, '([0-9]+(?:\\.[0-9]+)?)', 1)) AS k FROM documents) SELECT array_to_string(k, '|') AS tokens, count(*) AS n FROM n WHERE len(k) > 0 GROUP BY 1")
+def _(t):
+    return t("documents").select(tx.numbers(F.col("text")).alias("k")).where(F.size("k") > 0).groupBy(F.array_join("k", "|").alias("tokens")).agg(F.count("*").alias("n"))
+
+
+@query("f15_missing_values", "SELECT event_type, count(*) FILTER (value IS NULL) AS n_missing, count(*) FILTER (event_type IN ('', 'not_reported')) AS n_placeholder, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    return t("events").groupBy("event_type").agg(F.count_if(F.col("value").isNull()).alias("n_missing"), F.count_if(tx.missing(F.col("event_type"))).alias("n_placeholder"), F.count("*").alias("n"))
+
+
+@query("f17_known_vocabulary", "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10) GROUP BY 1")
+def _(t):
+    return t("lineitem").join(t("part").where("p_size <= 10").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("f27_conservative_relevance", "SELECT l_returnflag, l_linestatus, CASE WHEN l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linestatus = 'F') THEN 'yes' ELSE 'no' END AS relevant, count(*) AS n FROM lineitem GROUP BY 1, 2, 3")
+def _(t):
+    relevant = F.when((F.col("l_returnflag") == "R") | ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")), "yes").otherwise("no")
+    return t("lineitem").groupBy("l_returnflag", "l_linestatus", relevant.alias("relevant")).agg(F.count("*").alias("n"))
+
+
+@query("f28_caption_panel_labels", "SELECT doc_id, len(regexp_extract_all(text, '\\(?([a-h])\\)', 1)) AS n_labels FROM documents")
+def _(t):
+    return t("documents").select("doc_id", long(F.size(F.regexp_extract_all("text", F.lit(r"\(?([a-h])\)"), F.lit(1)))).alias("n_labels"))
+
+
+@query("f31_monotonic_quality", "WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, lag(l_quantity) OVER w AS q, lag(l_discount) OVER w AS d FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) SELECT l_orderkey, l_linenumber, l_quantity >= q AND l_discount <= d AS monotonic FROM p WHERE q IS NOT NULL")
+def _(t):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    both = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", F.lag("l_quantity").over(w).alias("q"), F.lag("l_discount").over(w).alias("d"))
+    return both.where("q is not null").select("l_orderkey", "l_linenumber", ((F.col("l_quantity") >= F.col("q")) & (F.col("l_discount") <= F.col("d"))).alias("monotonic"))
+
+
+@query("f32_scoped_patch", "SELECT count(*) AS out_of_scope FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')")
+def _(t):
+    worklist = t("orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return t("lineitem").join(worklist, "l_orderkey", "left_anti").agg(F.count("*").alias("out_of_scope"))
+
+
+# -------------------------------------------------------- projections, unnesting
+@query("p16_scalar_items", "SELECT event_id, 'k' AS path, (props::JSON ->> 'k')::BIGINT AS value FROM events WHERE props IS NOT NULL")
+def _(t):
+    items = t("events").where("props is not null").select("event_id", F.explode(F.from_json("props", "map<string,bigint>")))
+    return items.select("event_id", F.col("key").alias("path"), "value")
+
+
+@query("p08_stack_components", "SELECT p_partkey, 'brand' AS role, p_brand AS name FROM part UNION ALL SELECT p_partkey, 'type', p_type FROM part")
+def _(t):
+    return t("part").selectExpr("p_partkey", "stack(2, 'brand', p_brand, 'type', p_type) as (role, name)")
+
+
+@query("p28_unique_metric_pivot", "SELECT l_orderkey, CASE WHEN count(*) FILTER (l_returnflag = 'R') = 1 THEN max(l_quantity) FILTER (l_returnflag = 'R') END AS r_quantity, CASE WHEN count(*) FILTER (l_returnflag = 'N') = 1 THEN max(l_quantity) FILTER (l_returnflag = 'N') END AS n_quantity, count(*) AS n_candidates FROM lineitem GROUP BY 1")
+def _(t):
+    def only(flag: str):
+        return F.when(F.count_if(F.col("l_returnflag") == flag) == 1, F.max(F.when(F.col("l_returnflag") == flag, F.col("l_quantity"))))
+
+    return t("lineitem").groupBy("l_orderkey").agg(only("R").alias("r_quantity"), only("N").alias("n_quantity"), F.count("*").alias("n_candidates"))
+
+
+@query("p14_nested_outcomes", "SELECT o_orderkey, len(list(l_linenumber))::BIGINT AS n_outcomes, sum(l_quantity) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '1%' GROUP BY 1")
+def _(t):
+    nested = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("checkpoints"))
+    rows = t("orders").where("o_orderpriority like '1%'").join(nested, "o_orderkey").select("o_orderkey", F.explode("checkpoints").alias("c"))
+    return rows.groupBy("o_orderkey").agg(F.count("*").alias("n_outcomes"), F.sum("c.l_quantity").alias("total"))
+
+
+@query("p04_outcome_context", "SELECT l_orderkey, l_linenumber, o_orderpriority, c_mktsegment, n_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE l_quantity >= 45")
+def _(t):
+    rows = t("lineitem").where("l_quantity >= 45").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return rows.join(F.broadcast(t("nation").select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"), "left").select("l_orderkey", "l_linenumber", "o_orderpriority", "c_mktsegment", "n_name")
+
+
+@query("p46_first_identifier", "SELECT page_id, coalesce(nullif(url, ''), 'page:' || page_id) AS identifier FROM pages")
+def _(t):
+    return t("pages").select("page_id", F.coalesce(F.nullif("url", F.lit("")), F.concat(F.lit("page:"), F.col("page_id").cast("string"))).alias("identifier"))
+
+
+@query("p24_event_rows_undone", "SELECT event_id, coalesce(lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = 'error', false) AS is_undone FROM events")
+def _(t):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return t("events").select("event_id", F.coalesce(F.lead("event_type").over(w) == "error", F.lit(False)).alias("is_undone"))
+
+
+# ------------------------------------------------------------- joins, matching
+@query("j18_subject_measurements", "SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS kinds FROM events GROUP BY 1")
+def _(t):
+    return t("events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kinds"))
+
+
+@query("j17_use_similarity", "WITH s AS (SELECT conv_id, list(DISTINCT role) FILTER (turn % 2 = 0) AS a, list(DISTINCT role) FILTER (turn % 2 = 1) AS b FROM conversations GROUP BY 1), z AS (SELECT conv_id, coalesce(a, []) AS a, coalesce(b, []) AS b FROM s) SELECT conv_id, CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 1.0 ELSE len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))) END AS similarity FROM z")
+def _(t):
+    sides = t("conversations").groupBy("conv_id").agg(F.collect_set(F.when(F.col("turn") % 2 == 0, F.col("role"))).alias("a"), F.collect_set(F.when(F.col("turn") % 2 == 1, F.col("role"))).alias("b"))
+    return sides.select("conv_id", linkage.jaccard(F.col("a"), F.col("b")).cast("double").alias("similarity"))
+
+
+@query("j27_paired_means", "WITH p AS (SELECT l_orderkey, avg(l_extendedprice) FILTER (l_returnflag = 'R') AS c, avg(l_extendedprice) FILTER (l_returnflag = 'A') AS x FROM lineitem GROUP BY 1) SELECT count(*) AS n_pairs, avg(x - c) AS mean_delta FROM p WHERE c IS NOT NULL AND x IS NOT NULL")
+def _(t):
+    runs = t("lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.avg("l_extendedprice").alias("v"))
+    return linkage.paired_arms(runs, ["l_orderkey"], "l_returnflag", "v", "R", "A").agg(F.count("*").alias("n_pairs"), F.avg("delta").alias("mean_delta"))
+
+
+@query("j28_cohort_differences", "SELECT c_custkey AS custkey, 'missing' AS issue FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'extra' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
+def _(t):
+    expected, actual = t("customer").select(F.col("c_custkey").alias("custkey")), t("orders").select(F.col("o_custkey").alias("custkey")).distinct()
+    return expected.join(actual, "custkey", "left_anti").withColumn("issue", F.lit("missing")).union(actual.join(expected, "custkey", "left_anti").withColumn("issue", F.lit("extra")))
+
+
+@query("j29_settings_of_first_run", "WITH f AS (SELECT o_orderkey, o_orderpriority = first_value(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS same FROM orders) SELECT count(*) FILTER (NOT same) AS n_different, count(*) AS n FROM f")
+def _(t):
+    first = t("orders").groupBy("o_custkey").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first"))
+    return t("orders").join(first, "o_custkey").agg(F.count_if(F.col("o_orderpriority") != F.col("first")).alias("n_different"), F.count("*").alias("n"))
+
+
+@query("j31_panel_agreement", "WITH a AS (SELECT doc_id, quality FROM labels), b AS (SELECT doc_id, toxic FROM labels WHERE doc_id % 3 <> 0) SELECT a.quality AS truth, b.toxic AS predicted, count(*) FILTER (a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL) AS matched, count(*) FILTER (b.doc_id IS NULL) AS missed, count(*) FILTER (a.doc_id IS NULL) AS extra FROM a FULL JOIN b ON a.doc_id = b.doc_id GROUP BY 1, 2")
+def _(t):
+    right = t("labels").where("doc_id % 3 <> 0").select("doc_id", F.col("toxic").alias("quality"))
+    return metrics.agreement(t("labels").select("doc_id", "quality"), right, ["doc_id"], "quality")
+
+
+@query("j33_pending_retries", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND n_chars > 500")
+def _(t):
+    return t("documents").where("n_chars > 500").join(t("labels").select("doc_id"), "doc_id", "left_anti").select("doc_id")
+
+
+@query("j22_cited_neighbours", "WITH c AS (SELECT conv_id, turn, role = 'user' AS cited FROM conversations), n AS (SELECT *, coalesce(lag(cited) OVER w, false) OR coalesce(lead(cited) OVER w, false) OR cited AS kept FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn FROM n WHERE kept")
+def _(t):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    cited = F.col("role") == "user"
+    near = cited | F.coalesce(F.lag(cited).over(w), F.lit(False)) | F.coalesce(F.lead(cited).over(w), F.lit(False))
+    return t("conversations").withColumn("kept", near).where("kept").select("conv_id", "turn")
+
+
+@query("j25_constraint_suite", "SELECT 'dangling_order' AS issue, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) UNION ALL SELECT 'dangling_customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) UNION ALL SELECT 'repeated_line', count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)")
+def _(t):
+    a = records.dangling(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey").agg(F.lit("dangling_order").alias("issue"), F.count("*").alias("n"))
+    b = records.dangling(t("orders"), "o_custkey", t("customer"), "c_custkey").agg(F.lit("dangling_customer").alias("issue"), F.count("*").alias("n"))
+    d = t("lineitem").groupBy("l_orderkey", "l_linenumber").count().where("count > 1").agg(F.lit("repeated_line").alias("issue"), F.count("*").alias("n"))
+    return a.union(b).union(d)
+
+
+@query("j03_one_to_one_assignment")
+def _(t):
+    docs = t("documents").select("doc_id", "lang", "source", F.array_distinct(F.split(F.lower(F.left("text", F.lit(2000))), " ")).alias("w"))
+    a, b = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
+    pairs = a.join(b.select(F.col("doc_id").alias("other"), "lang", "source", F.col("w").alias("v")), ["lang", "source"]).withColumn("score", linkage.jaccard(F.col("w"), F.col("v")).cast("double"))
+    return linkage.one_to_one(pairs, ["lang", "source"], "doc_id", "other", "score", 0.05)
+
+
+@query("j12_ordered_overlap")
+def _(t):
+    turns = t("conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("roles"))
+    return turns.withColumn("reverse", F.reverse("roles")).select("conv_id", linkage.ordered_overlap("roles", "reverse").alias("overlap"))
+
+
+# ---------------------------------------------------------------- aggregations
+@query("a01_precision_recall", "WITH c AS (SELECT l_returnflag AS k, count(*) AS p, count(*) FILTER (l_quantity > 10) AS t, count(*) FILTER (l_quantity > 25) AS m FROM lineitem GROUP BY 1) SELECT k, p, t, m, m / p AS precision, m / t AS recall, 2 * m / (p + t) AS f1 FROM c")
+def _(t):
+    counts = t("lineitem").groupBy(F.col("l_returnflag").alias("k")).agg(F.count("*").alias("p"), F.count_if(F.col("l_quantity") > 10).alias("t"), F.count_if(F.col("l_quantity") > 25).alias("m"))
+    return metrics.precision_recall(counts, "p", "t", "m")
+
+
+@query("a04_micro_macro", "WITH c AS (SELECT o_orderpriority, o_orderkey, count(*) AS p, count(*) FILTER (l_quantity > 10) AS t, count(*) FILTER (l_quantity > 25) AS m FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2) SELECT o_orderpriority, sum(p)::BIGINT AS p, sum(t)::BIGINT AS t, sum(m)::BIGINT AS m, avg(2 * m / (p + t)) AS macro_f1, count(*) AS n_defined, 2 * sum(m) / (sum(p) + sum(t)) AS micro_f1 FROM c GROUP BY 1")
+def _(t):
+    lines = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("p"), F.count_if(F.col("l_quantity") > 10).alias("t"), F.count_if(F.col("l_quantity") > 25).alias("m"))
+    return metrics.micro_macro(lines.join(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderkey"), ["o_orderpriority"], "p", "t", "m")
+
+
+@query("a05_field_totals", "SELECT (props::JSON ->> 'k')::BIGINT AS field, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    return t("events").groupBy(F.get_json_object("props", "$.k").cast("long").alias("field")).agg(F.count("*").alias("n"))
+
+
+@query("a06_score_views", "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS total FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_linestatus), ())")
+def _(t):
+    return t("lineitem").groupingSets([[F.col("l_returnflag")], [F.col("l_linestatus")], []], F.col("l_returnflag"), F.col("l_linestatus")).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+
+
+@query("a08_multiset_agreement", "WITH x AS (SELECT o_custkey, o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS a, count(*) FILTER (o_orderstatus <> 'F') AS b FROM orders GROUP BY 1, 2), s AS (SELECT o_custkey, sum(least(a, b))::BIGINT AS shared, sum(a)::BIGINT AS n_left, sum(b)::BIGINT AS n_right FROM x GROUP BY 1) SELECT *, shared / greatest(n_left, n_right) AS agreement FROM s")
+def _(t):
+    o = t("orders")
+    return metrics.multiset_agreement(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus <> 'F'"), ["o_custkey"], "o_orderpriority")
+
+
+@query("a12_known_sums", "WITH v AS (SELECT event_type, CASE WHEN event_type = 'error' AND event_id % 7 = 0 THEN NULL ELSE value END AS cost FROM events) SELECT event_type, CASE WHEN count(*) = count(cost) THEN sum(cost) END AS cost, coalesce(sum(cost), 0) AS cost_known, count(*) = count(cost) AS cost_complete FROM v GROUP BY 1")
+def _(t):
+    usage = t("events").withColumn("cost", F.when(~((F.col("event_type") == "error") & (F.col("event_id") % 7 == 0)), F.col("value")))
+    return usage.groupBy("event_type").agg(*metrics.known_sum("cost", "cost"))
+
+
+@query("a13_call_summary", "SELECT user_id, count(*) AS calls, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'view') AS cached, sum(value) AS total FROM events GROUP BY 1")
+def _(t):
+    kind = F.col("event_type")
+    return t("events").groupBy("user_id").agg(F.count("*").alias("calls"), F.count_if(kind == "error").alias("failed"), F.count_if(kind == "view").alias("cached"), F.sum("value").alias("total"))
+
+
+@query("a18_verdict_pivot", "SELECT c_mktsegment, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o, count(*) FILTER (o_orderstatus = 'P') AS p FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
+def _(t):
+    pivoted = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").pivot("o_orderstatus", ["F", "O", "P"]).count()
+    return pivoted.select("c_mktsegment", *[F.coalesce(F.col(x), F.lit(0)).alias(x.lower()) for x in ("F", "O", "P")])
+
+
+@query("a17_distinct_tuples", "SELECT count(DISTINCT (l_partkey, l_suppkey)) AS n_pairs, count(*) AS n, sum(l_quantity) AS total FROM lineitem")
+def _(t):
+    return t("lineitem").agg(F.countDistinct("l_partkey", "l_suppkey").alias("n_pairs"), F.count("*").alias("n"), F.sum("l_quantity").alias("total"))
+
+
+@query("a14_blocker_counts", "SELECT lang, count(*) FILTER (n_chars < 200) AS short, count(*) FILTER (text LIKE '%@%') AS mail, count(*) AS n FROM documents GROUP BY 1")
+def _(t):
+    return t("documents").groupBy("lang").agg(F.count_if(F.col("n_chars") < 200).alias("short"), F.count_if(F.col("text").contains("@")).alias("mail"), F.count("*").alias("n"))
+
+
+@query("a20_open_counter", "SELECT source, count(*) AS n FROM documents GROUP BY 1")
+def _(t):
+    return t("documents").groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query("a03_bootstrap_interval")
+def _(t):
+    return metrics.bootstrap_mean(t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice", samples=50, seed=17)
+
+
+# --------------------------------------------------------------- ordered, windows
+@query("w01_contiguous_sections", "WITH n AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER w OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS s FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn, (sum(s) OVER (PARTITION BY conv_id ORDER BY turn))::BIGINT AS island FROM n")
+def _(t):
+    return records.islands(t("conversations"), ["conv_id"], ["turn"], "role").select("conv_id", "turn", "island")
+
+
+@query("w03_greedy_packing", "WITH RECURSIVE r AS (SELECT conv_id, turn, length(text)::BIGINT AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations), p AS (SELECT conv_id, turn, size, i, size AS used, 0 AS win FROM r WHERE i = 1 UNION ALL SELECT r.conv_id, r.turn, r.size, r.i, CASE WHEN used > 0 AND used + r.size > 400 THEN r.size ELSE used + r.size END, win + CASE WHEN used > 0 AND used + r.size > 400 THEN 1 ELSE 0 END FROM p JOIN r ON r.conv_id = p.conv_id AND r.i = p.i + 1) SELECT conv_id, turn, size, win AS \"window\" FROM p")
+def _(t):
+    return records.pack(t("conversations").withColumn("size", F.length("text")), ["conv_id"], ["turn"], "size", 400)
+
+
+@query("w06_exact_cover", "SELECT conv_id, count(*) AS n, count(DISTINCT turn) = count(*) AND max(turn) - min(turn) + 1 = count(*) AS covered FROM conversations GROUP BY 1")
+def _(t):
+    return t("conversations").groupBy("conv_id").agg(F.count("*").alias("n"), ((F.countDistinct("turn") == F.count("*")) & (F.max("turn") - F.min("turn") + 1 == F.count("*"))).alias("covered"))
+
+
+@query("w07_number_passages", "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY p))::BIGINT AS span, sha256(s) AS span_sha FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents) WHERE s <> ''")
+def _(t):
+    parts = t("documents").select("doc_id", F.posexplode(F.filter(F.split("text", "\n"), lambda s: s != "")).alias("p", "s"))
+    return parts.select("doc_id", long(F.col("p") + 1).alias("span"), F.sha2("s", 256).alias("span_sha"))
+
+
+@query("w11_total_order", "SELECT conv_id, CASE WHEN count(DISTINCT turn) = count(*) THEN string_agg(role, '>' ORDER BY turn) END AS roles FROM conversations GROUP BY 1")
+def _(t):
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]), ">")
+    return t("conversations").groupBy("conv_id").agg(F.when(F.countDistinct("turn") == F.count("*"), ordered).alias("roles"))
+
+
+# ------------------------------------------------------- samples, rankings, search
+@query("t01_top_candidates", "SELECT l_orderkey, l_linenumber, rank FROM (SELECT l_orderkey, l_linenumber, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber))::BIGINT AS rank FROM lineitem) WHERE rank <= 3")
+def _(t):
+    w = Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_linenumber")
+    return t("lineitem").select("l_orderkey", "l_linenumber", long(F.row_number().over(w)).alias("rank")).where("rank <= 3")
+
+
+@query("t02_stratified_sample", "WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256(doc_id::VARCHAR), doc_id) AS k, count(*) OVER (PARTITION BY lang) AS n FROM documents) SELECT doc_id, lang, least(1.0, 20 / n) AS probability FROM r WHERE k <= 20")
+def _(t):
+    docs = t("documents").select("doc_id", "lang", F.sha2(F.col("doc_id").cast("string"), 256).alias("h"))
+    w = Window.partitionBy("lang").orderBy("h", "doc_id")
+    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
+    chosen = docs.withColumn("k", F.row_number().over(w)).where("k <= 20")
+    return chosen.join(F.broadcast(sizes), "lang").select("doc_id", "lang", F.least(F.lit(1.0), 20 / F.col("n")).alias("probability"))
+
+
+@query("t04_decision_changes", "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 'added' WHEN l_linestatus = 'O' THEN 'removed' WHEN l_returnflag <> l_linestatus THEN 'changed' END AS change FROM lineitem WHERE l_returnflag = 'N' OR l_linestatus = 'O' OR l_returnflag <> l_linestatus")
+def _(t):
+    lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    before = lines.where("l_returnflag <> 'N'").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("x"))
+    after = lines.where("l_linestatus <> 'O' or l_returnflag = 'N'").select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("x"))
+    return records.changes(before, after, ["l_orderkey", "l_linenumber"], ["x"])
+
+
+@query("t05_search_blocks", "SELECT doc_id FROM documents WHERE contains(lower(text), 'the the') ORDER BY doc_id LIMIT 100")
+def _(t):
+    return t("documents").where(F.lower("text").contains("the the")).select("doc_id").orderBy("doc_id").limit(100)
+
+
+# ------------------------------------------------------ duplicates, merges, diffs
+@query("o01_block_duplicates", "WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS k FROM documents) SELECT min(doc_id) AS canonical, count(*) AS n FROM d WHERE length(k) > 40 GROUP BY k HAVING count(*) > 1")
+def _(t):
+    keyed = t("documents").select("doc_id", tx.collapse(F.col("text")).alias("k")).where(F.length("k") > 40)
+    return keyed.groupBy(F.sha2("k", 256).alias("k")).agg(F.min("doc_id").alias("canonical"), F.count("*").alias("n")).where("n > 1").select("canonical", "n")
+
+
+@query("o05_merge_records", "SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS statuses, bool_or(o_totalprice > 400000) AS curated, count(*) AS n_records FROM orders GROUP BY 1")
+def _(t):
+    rows = t("orders").withColumn("curated", F.col("o_totalprice") > 400000)
+    merged = records.merge_records(rows, ["o_custkey"], [F.col("o_orderkey")], first=["o_orderpriority"], union=["o_orderstatus"], either=["curated"])
+    return merged.select("o_custkey", "o_orderpriority", F.array_join("o_orderstatus", ",").alias("statuses"), "curated", "n_records")
+
+
+@query("o12_exact_duplicates", "SELECT min(p_partkey) AS first_key, count(*) AS n, array_to_string(list_sort(list(p_partkey)), ',') AS keys FROM part GROUP BY p_brand, p_type, p_size HAVING count(*) > 1")
+def _(t):
+    return records.duplicates(t("part"), ["p_brand", "p_type", "p_size"], "p_partkey").select("first_key", "n", F.array_join(F.transform("keys", lambda k: k.cast("string")), ",").alias("keys"))
+
+
+@query("o13_duplicate_ids", "SELECT l_partkey AS id, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 40")
+def _(t):
+    return t("lineitem").groupBy(F.col("l_partkey").alias("id")).agg(F.count("*").alias("n")).where("n > 40")
+
+
+@query("o15_upsert", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, 0.0 FROM orders WHERE o_orderstatus = 'P'")
+def _(t):
+    current = t("orders").select("o_orderkey", "o_totalprice")
+    return records.upsert(current, t("orders").where("o_orderstatus = 'P'").select("o_orderkey", F.lit(0.0).alias("o_totalprice")), ["o_orderkey"])
+
+
+@query("o17_last_wins", "SELECT o_custkey, max_by(o_orderpriority, o_orderkey) AS priority FROM orders GROUP BY 1")
+def _(t):
+    return t("orders").groupBy("o_custkey").agg(F.max_by("o_orderpriority", "o_orderkey").alias("priority"))
+
+
+# ----------------------------------------------------------------- text, numbers
+@query("x01_scientific_text", "SELECT doc_id, sha256(trim(regexp_replace(replace(text, '−', '-'), '\\s+', ' ', 'g'))) AS sha FROM documents")
+def _(t):
+    return t("documents").select("doc_id", F.sha2(tx.scientific_text(F.col("text")), 256).alias("sha"))
+
+
+@query("x03_token_key", "SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9.+%-]+', ' ', 'g')) AS key FROM part")
+def _(t):
+    return t("part").select("p_partkey", tx.token_key(F.col("p_name")).alias("key"))
+
+
+@query("x10_snake_label", "SELECT p_partkey, trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '_', 'g'), '_') AS label FROM part")
+def _(t):
+    return t("part").select("p_partkey", tx.snake(F.col("p_type")).alias("label"))
+
+
+@query("x05_jaccard", "WITH w AS (SELECT p_partkey, list_distinct(string_split(p_name, ' ')) AS a, list_distinct(string_split(p_type, ' ')) AS b FROM part) SELECT p_partkey, len(list_intersect(a, b))::DOUBLE / len(list_distinct(list_concat(a, b))) AS similarity FROM w")
+def _(t):
+    return t("part").select("p_partkey", linkage.jaccard(F.array_distinct(F.split("p_name", " ")), F.array_distinct(F.split("p_type", " "))).cast("double").alias("similarity"))
+
+
+@query("x12_block_id", "SELECT conv_id, turn, role || '_p' || conv_id || '_' || lpad(turn::VARCHAR, 4, '0') || '_turn_' || left(sha256(text), 12) AS block_id FROM conversations")
+def _(t):
+    return t("conversations").select("conv_id", "turn", tx.block_id(F.col("role"), F.col("conv_id"), F.col("turn"), F.lit("turn"), F.col("text")).alias("block_id"))
+
+
+@query("x13_extract_doi", "SELECT page_id, lower(rtrim(nullif(regexp_extract(html || ' doi 10.1000/Page.' || page_id || ').', '(10\\.[0-9]{4,9}/[^\\s\"<>]+)', 1), ''), '.,;)')) AS doi FROM pages")
+def _(t):
+    return t("pages").select("page_id", tx.doi(F.concat("html", F.lit(" doi 10.1000/Page."), F.col("page_id").cast("string"), F.lit(")."))).alias("doi"))
+
+
+@query("x14_plain_text", "SELECT page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g'))) AS sha FROM pages")
+def _(t):
+    return t("pages").select("page_id", F.sha2(tx.plain_text(F.col("html")), 256).alias("sha"))
+
+
+@query("d01_publication_date", "SELECT o_orderkey, try_cast(nullif(regexp_extract('on ' || strftime(o_orderdate, '%Y-%m-%d') || ' at', '([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), '') AS DATE) AS day FROM orders")
+def _(t):
+    return t("orders").select("o_orderkey", tx.publication_date(F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" at"))).alias("day"))
+
+
+@query("d04_content_digest", "SELECT item_id, sha256(text) AS digest FROM benchmark")
+def _(t):
+    return t("benchmark").select("item_id", F.sha2("text", 256).alias("digest"))
+
+
+@query("n14_token_estimate", "SELECT conv_id, sum(ceil(octet_length(encode(text)) / 3) + 64)::BIGINT AS tokens FROM conversations GROUP BY 1")
+def _(t):
+    return t("conversations").groupBy("conv_id").agg(F.sum(tx.token_estimate(F.col("text"))).alias("tokens"))
+
+
+# ------------------------------------------------------------------- event logs
+@query("z10_sessions", "WITH g AS (SELECT *, CASE WHEN epoch(ts) - epoch(lag(ts) OVER w) > 3600 THEN 1 ELSE 0 END AS late FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT event_id, (sum(late) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS session FROM g")
+def _(t):
+    return records.sessions(t("events"), ["user_id"], "ts", "event_id", 3600).select("event_id", "session")
+
+
+@query("z11_folded_state", "WITH m AS (SELECT *, coalesce(lead(event_type) OVER w = 'error', false) AS undone, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), l AS (SELECT *, max(r) OVER (PARTITION BY user_id) AS last FROM m) SELECT user_id, arg_max(value, (ts, event_id)) AS current, count(*) AS n_live FROM l WHERE r = last AND NOT undone AND event_type NOT IN ('signup', 'error') GROUP BY 1")
+def _(t):
+    return records.fold_log(t("events"), "user_id", ["ts", "event_id"], "event_type", "value", "signup", "error")
+
+
+@query("z09_event_sequence", "SELECT event_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS sequence FROM events")
+def _(t):
+    return t("events").select("event_id", long(F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))).alias("sequence"))
+
+
+@query("v02_rates_follow_counts", "SELECT c_custkey, count(o_orderkey) AS n, avg(o_totalprice) AS mean, sum(o_totalprice) / nullif(count(o_orderkey), 0) AS recomputed FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
+def _(t):
+    joined = t("customer").join(t("orders"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    return joined.groupBy("c_custkey").agg(F.count("o_orderkey").alias("n"), F.avg("o_totalprice").alias("mean"), metrics.rate(F.sum("o_totalprice"), F.count("o_orderkey")).alias("recomputed"))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro and macro agreement of lines by order priority."""
+    return QUERIES["a04_micro_macro"](spark, sf_dir)
