@@ -53,7 +53,7 @@ class Model:
         for g, k in grams.items():
             sums[len(g)] += k
         self.grams = {g: np.log10((k + 0.5) / (sums[len(g)] + 0.5 * known)).astype(np.float32) for g, k in grams.items() if k.sum() > 1}
-        self.floor = np.full(n, -math.log10(2 * known + float(total.max())), np.float32)
+        self.floor = np.full(n, -math.log10(2 * known + float(np.max(total, initial=1.0))), np.float32)
 
     def unseen(self, word: str) -> np.ndarray:
         """The mean over positions of the longest n-gram known there, else the next shorter."""

@@ -238,7 +238,7 @@ def scored(docs: DataFrame, training: Column, folder: str, text: str = "text") -
         if held + count > HEAD_WORDS:
             break
         least, held = k, held + count
-    limit = 1 << least
+    limit = 1 << min(least, 62)
     key, n = _arrays(words.where(F.col("n") >= limit), "key", "n")
     head = spark.sparkContext.broadcast(Table(key.view(np.uint64), n.astype(np.float32)) if held else Table(np.zeros(0, np.uint64), np.zeros(0)))
     whole = held == distinct
