@@ -32,7 +32,7 @@ def long(column) -> F.Column:
 
 # ------------------------------------------------------------ filters, predicates
 GROUPS = [["the", "und", "les"], ["and", "der", "que"]]
-_HAS = "regexp_matches({0}, '(?i)(^|[^\\w])({1})($|[^\\w])')"
+_HAS = "regexp_matches({0}, '(?i)(^|[^\\p{{L}}\\p{{N}}\\p{{M}}_])({1})($|[^\\p{{L}}\\p{{N}}\\p{{M}}_])')"
 
 
 @query("f04_accepts_term_groups", f"SELECT doc_id FROM documents WHERE {_HAS.format('text', 'the|und|les')} AND {_HAS.format('text', 'and|der|que')}")
@@ -76,9 +76,9 @@ def _(t):
     return t("documents").select("doc_id", long(F.size(F.regexp_extract_all("text", F.lit(r"\(?([a-h])\)"), F.lit(1)))).alias("n_labels"))
 
 
-@query("f31_monotonic_quality", "WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, lag(l_quantity) OVER w AS q, lag(l_discount) OVER w AS d FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber)) SELECT l_orderkey, l_linenumber, l_quantity >= q AND l_discount <= d AS monotonic FROM p WHERE q IS NOT NULL")
+@query("f31_monotonic_quality", "WITH p AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, lag(l_quantity) OVER w AS q, lag(l_discount) OVER w AS d FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount)) SELECT l_orderkey, l_linenumber, l_quantity >= q AND l_discount <= d AS monotonic FROM p WHERE q IS NOT NULL")
 def _(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
     both = t("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", F.lag("l_quantity").over(w).alias("q"), F.lag("l_discount").over(w).alias("d"))
     return both.where("q is not null").select("l_orderkey", "l_linenumber", ((F.col("l_quantity") >= F.col("q")) & (F.col("l_discount") <= F.col("d"))).alias("monotonic"))
 
@@ -315,12 +315,12 @@ def _(t):
     return chosen.join(F.broadcast(sizes), "lang").select("doc_id", "lang", F.least(F.lit(1.0), 20 / F.col("n")).alias("probability"))
 
 
-@query("t04_decision_changes", "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 'added' WHEN l_linestatus = 'O' THEN 'removed' WHEN l_returnflag <> l_linestatus THEN 'changed' END AS change FROM lineitem WHERE l_returnflag = 'N' OR l_linestatus = 'O' OR l_returnflag <> l_linestatus")
+@query("t04_decision_changes", "SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN 'added' WHEN o_custkey % 7 = 0 THEN 'removed' ELSE 'changed' END AS change FROM orders WHERE (o_custkey % 5 = 0 OR o_custkey % 7 = 0 OR o_orderstatus = 'P') AND NOT (o_custkey % 5 = 0 AND o_custkey % 7 = 0)")
 def _(t):
-    lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    before = lines.where("l_returnflag <> 'N'").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("x"))
-    after = lines.where("l_linestatus <> 'O' or l_returnflag = 'N'").select("l_orderkey", "l_linenumber", F.col("l_linestatus").alias("x"))
-    return records.changes(before, after, ["l_orderkey", "l_linenumber"], ["x"])
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    before = orders.where("o_custkey % 5 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("x"))
+    after = orders.where("o_custkey % 7 <> 0").select("o_orderkey", F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus")).alias("x"))
+    return records.changes(before, after, ["o_orderkey"], ["x"])
 
 
 @query("t05_search_blocks", "SELECT doc_id FROM documents WHERE contains(lower(text), 'the the') ORDER BY doc_id LIMIT 100")
@@ -399,9 +399,9 @@ def _(t):
     return t("pages").select("page_id", F.sha2(tx.plain_text(F.col("html")), 256).alias("sha"))
 
 
-@query("d01_publication_date", "SELECT o_orderkey, try_cast(nullif(regexp_extract('on ' || strftime(o_orderdate, '%Y-%m-%d') || ' at', '([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), '') AS DATE) AS day FROM orders")
+@query("d01_publication_date", "SELECT o_orderkey, try_cast(nullif(regexp_extract('on ' || strftime(o_orderdate, '%Y-%m-%d') || ' at', '([0-9]{4}-[0-9]{2}-[0-9]{2})', 1), '') AS DATE)::VARCHAR AS day FROM orders")
 def _(t):
-    return t("orders").select("o_orderkey", tx.publication_date(F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" at"))).alias("day"))
+    return t("orders").select("o_orderkey", tx.publication_date(F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" at"))).cast("string").alias("day"))
 
 
 @query("d04_content_digest", "SELECT item_id, sha256(text) AS digest FROM benchmark")
