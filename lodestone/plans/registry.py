@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions import quantities as qt
 from lodestone.functions import text as tx
 from lodestone.operators import linkage, metrics, records
 
@@ -414,6 +415,19 @@ def _(t):
     return t("conversations").groupBy("conv_id").agg(F.sum(tx.token_estimate(F.col("text"))).alias("tokens"))
 
 
+@query("n02_finite_number", "WITH r AS (SELECT o_orderkey, (o_custkey % 97)::VARCHAR || 'e' || (o_orderkey % 700 - 350)::VARCHAR AS raw FROM orders), n AS (SELECT *, TRY_CAST(raw AS DOUBLE) AS v FROM r) SELECT o_orderkey, CASE WHEN isfinite(v) AND NOT (v = 0 AND regexp_matches(split_part(raw, 'e', 1), '[1-9]')) THEN v END AS number FROM n")
+def _(t):
+    raw = F.concat((F.col("o_custkey") % 97).cast("string"), F.lit("e"), (F.col("o_orderkey") % 700 - 350).cast("string"))
+    return t("orders").select("o_orderkey", qt.finite_number(raw).alias("number"))
+
+
+@query("n05_equal_claims", "SELECT l_returnflag, count(*) FILTER (abs(x - p_retailprice) <= greatest(0.05 * greatest(abs(x), abs(p_retailprice)), 1.0)) AS n_equal, count(*) AS n FROM (SELECT l_returnflag, l_partkey, l_extendedprice / l_quantity AS x FROM lineitem) JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def _(t):
+    lines = t("lineitem").select("l_returnflag", F.col("l_partkey").alias("p_partkey"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("x"))
+    same = qt.close(F.col("x"), F.col("p_retailprice"), 0.05, 1.0)
+    return lines.join(t("part").select("p_partkey", "p_retailprice"), "p_partkey").groupBy("l_returnflag").agg(F.count_if(same).alias("n_equal"), F.count("*").alias("n"))
+
+
 # ------------------------------------------------------------------- event logs
 @query("z10_sessions", "WITH g AS (SELECT *, CASE WHEN epoch(ts) - epoch(lag(ts) OVER w) > 3600 THEN 1 ELSE 0 END AS late FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT event_id, (sum(late) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT AS session FROM g")
 def _(t):
