@@ -193,10 +193,9 @@ def _(t):
 
 @query("j03_one_to_one_assignment")
 def _(t):
-    docs = t("documents").select("doc_id", "lang", "source", F.array_distinct(F.split(F.lower(F.left("text", F.lit(2000))), " ")).alias("w"))
+    docs = t("documents").select("doc_id", "lang", "source", F.split(F.lower("text"), " ").alias("w"))
     a, b = docs.where("floor(doc_id / 20) % 2 = 0"), docs.where("floor(doc_id / 20) % 2 = 1")
-    pairs = a.join(b.select(F.col("doc_id").alias("other"), "lang", "source", F.col("w").alias("v")), ["lang", "source"]).withColumn("score", linkage.jaccard(F.col("w"), F.col("v")).cast("double"))
-    return linkage.one_to_one(pairs, ["lang", "source"], "doc_id", "other", "score", 0.05)
+    return linkage.set_matches(a, b.withColumnRenamed("doc_id", "other"), ["lang", "source"], "doc_id", "other", "w", 0.05)
 
 
 @query("j12_ordered_overlap")

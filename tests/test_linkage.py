@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lodestone.operators import linkage, metrics, records
+from lodestone.plans import registry
 
 
 def best(scores):
@@ -43,6 +44,32 @@ def test_one_to_one(spark):
     assert rows == {("x", 1, 11), ("x", 2, 10)}
 
 
+def test_assignment_query_reads_whole_texts(spark, tmp_path):
+    head = " ".join(f"w{i}" for i in range(600))  # over 2,000 characters, the same in all
+    tails = {1: "a", 2: "b", 21: "b", 22: "a"}
+    rows = [(k, f"{head} " + " ".join(f"{x}{i}" for i in range(600)), "en", "s") for k, x in tails.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.other, r.score) for r in registry.QUERIES["j03_one_to_one_assignment"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 22, 1.0), (2, 21, 1.0)}
+
+
+def test_set_matches_equals_scored_pairs(spark):
+    rng = np.random.default_rng(5)
+
+    def side(start):
+        rows = [(str(b), start + i // 2 if i < 4 else start + i, [f"w{x}" for x in rng.integers(0, 12, rng.integers(0, 6))]) for b in range(3) for i in range(9)]
+        return [*rows, (None, start, ["w1"]), ("0", start + 50, None), ("9" if start else "8", start, ["w1"])]
+
+    a, b = spark.createDataFrame(side(0), "b string, l long, w array<string>"), spark.createDataFrame(side(100), "b string, r long, w array<string>")
+    made = linkage.set_matches(a, b, ["b"], "l", "r", "w", 0.2).collect()
+    pairs = a.join(b.withColumnRenamed("w", "v"), ["b"]).withColumn("score", linkage.jaccard(F.array_distinct("w"), F.array_distinct("v")).cast("double"))
+    scored = {(r.b, r.l, r.r): r.score for r in pairs.groupBy("b", "l", "r").agg(F.max("score").alias("score")).collect()}
+    assert made and all(r.score == scored[r.b, r.l, r.r] >= 0.2 for r in made)
+    assert len({(r.b, r.l) for r in made}) == len({(r.b, r.r) for r in made}) == len(made)
+    expected = linkage.one_to_one(pairs, ["b"], "l", "r", "score", 0.2).agg(F.sum("score")).first()[0]
+    assert abs(sum(r.score for r in made) - expected) < 1e-9
+
+
 def test_pack_and_upsert(spark):
     rows = spark.createDataFrame([("a", i, s) for i, s in enumerate([5, 6, 20, 1, 1])], "k string, i int, size int")
     got = [r.window for r in records.pack(rows, ["k"], ["i"], "size", 10).orderBy("i").collect()]
