@@ -268,7 +268,7 @@ def _(t):
 
 @query("a03_bootstrap_interval")
 def _(t):
-    return metrics.bootstrap_mean(t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice", samples=50, seed=17)
+    return metrics.bootstrap_mean(t("orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), ["o_orderpriority"], "o_totalprice", samples=2000, seed=17)
 
 
 # --------------------------------------------------------------- ordered, windows

@@ -82,3 +82,11 @@ def test_bootstrap_interval_holds_mean(spark):
     df = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 10).alias("v"), "id")
     row = metrics.bootstrap_mean(df, ["g"], "v", samples=80, seed=1).first()
     assert row["n"] == 2000 and row["low"] < 4.5 < row["high"] and row["high"] - row["low"] < 0.5
+
+
+def test_bootstrap_query_draws_as_often_as_the_reference(spark, monkeypatch):
+    drawn = []
+    plain = metrics.bootstrap_mean
+    monkeypatch.setattr(metrics, "bootstrap_mean", lambda *a, **k: drawn.append(k["samples"]) or plain(*a, **k))
+    rows = registry.QUERIES["a03_bootstrap_interval"](spark, "/root/testdata/sf0.001").collect()
+    assert drawn == [2000] and len(rows) == 5 and all(r.low < r["mean"] < r.high for r in rows)
