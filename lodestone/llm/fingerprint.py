@@ -17,6 +17,8 @@ from . import common as c
 #: (not rows) the driver orders. With more rows the buckets grow, and their window spills.
 BUCKET_ROWS = 2000
 MOST_BUCKETS = 50_000
+#: Repeated fingerprints that are broadcast at most; more of them are joined by shuffle.
+MOST_BROADCAST = 1_000_000
 
 
 def canonical(text: Column) -> Column:
@@ -39,6 +41,29 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumn("canonical_text", canonical(F.col(f"`{text}`"))).withColumn("fingerprint", wide_hash(F.col("canonical_text")))
 
 
+def _classes(made: DataFrame, key: str) -> DataFrame:
+    """(_f, form, class_id, class_size): fingerprints and sizes of the classes of several rows among ``made``.
+
+    Only rows whose fingerprint occurs again are grouped by their bytes. ``form`` is null where all
+    rows of the fingerprint have the same bytes; it tells classes apart where they have not."""
+    from pyspark.sql import Window
+
+    again = made.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    small = again.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    if small:
+        again = F.broadcast(again)
+    grouped = made.join(again, "fingerprint", "left_semi").groupBy("fingerprint", "canonical_text").agg(F.min(key).alias("class_id"), F.count("*").alias("class_size"))
+    forms = F.count("*").over(Window.partitionBy("fingerprint"))
+    classes = grouped.select("fingerprint", F.when(forms > 1, F.col("canonical_text")).alias("form"), "class_id", "class_size").withColumnRenamed("fingerprint", "_f")
+    return F.broadcast(classes) if small else classes
+
+
+def _with_class(rows: DataFrame, classes: DataFrame, key: str, own: str) -> DataFrame:
+    """``rows`` with class_id and class_size; a row without a class of several is its own."""
+    joined = rows.join(classes, (F.col("fingerprint") == F.col("_f")) & (F.col("form").isNull() | (F.col("form") == F.col(own))), "left")
+    return joined.withColumns({"class_id": F.when(F.col("class_size").isNull(), F.col(key)).otherwise(F.col("class_id")), "class_size": F.coalesce("class_size", F.lit(1))}).drop("_f", "form")
+
+
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fingerprint, class_id, class_size): class_id is the least key of the documents with
     the same canonical bytes.
@@ -48,8 +73,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     by their bytes. Null keys belong to their class but are never its id unless all are null;
     null and empty texts are one class; repeated rows count each."""
     made = fingerprints(docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text")))
-    classes = made.groupBy("fingerprint", "canonical_text").agg(F.min(key).alias("class_id"), F.count("*").alias("class_size"))
-    return made.join(classes, ["fingerprint", "canonical_text"]).select(key, "fingerprint", "class_id", "class_size")
+    return _with_class(made, _classes(made, key), key, "canonical_text").select(key, "fingerprint", "class_id", "class_size")
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -80,7 +104,8 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text, its neighbour, and the text whose last third is replaced by the neighbour's start:
-    key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the
+    class_id and class_size of ``exact_groups``.
 
     An exact digest is like another (1) or not (0): equal fingerprints whose canonical bytes are
     equal too. Null texts are empty; a single document is its own neighbour."""
@@ -92,4 +117,6 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     def alike(a: str, form: str) -> Column:
         return F.when((F.col("fingerprint") == F.col(a)) & (F.col("own") == F.col(form)), 1.0).otherwise(0.0)
 
-    return prints.select(F.col(f"`{key}`"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", alike("edited_fingerprint", "other").alias("near_edited"), alike("next_fingerprint", "following").alias("near_next"))
+    compared = prints.select(F.col(f"`{key}`"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", alike("edited_fingerprint", "other").alias("near_edited"), alike("next_fingerprint", "following").alias("near_next"), "own")
+    made = fingerprints(docs.select(F.col(f"`{key}`").cast("long").alias(key), F.col(f"`{text}`").alias("text")))
+    return _with_class(compared, _classes(made, key), key, "own").drop("own")

@@ -80,6 +80,22 @@ def test_fingerprints(spark, docs):
     assert {r.class_id for r in fingerprint.exact_groups(docs).where("class_size = 3").collect()} == {1}
 
 
+def test_fingerprint_query_groups_all_documents(spark, tmp_path, monkeypatch):
+    from lodestone.llm import queries
+
+    rows = [(5, "Café  X"), (2, "café x "), (3, None), (4, ""), (9, "other"), (None, "CAFÉ X")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {(5, 2, 3), (2, 2, 3), (None, 2, 3), (3, 3, 2), (4, 3, 2), (9, 9, 1)}
+
+    def got():
+        return {(r.doc_id, r.class_id, r.class_size) for r in queries.op3_fingerprint(spark, str(tmp_path)).collect()}
+
+    assert got() == expected
+    # with one fingerprint for all texts, classes are told apart by their bytes alone
+    monkeypatch.setattr(fingerprint, "wide_hash", lambda form: F.when(form.isNotNull(), "0"))
+    assert got() == expected
+
+
 def test_pii(spark, folder):
     df = spark.createDataFrame([(1, "mail a@b.cc, +49 (30) 123-45678, 1.2.3.4 or 4111 1111-1111 1111"), (2, None), (3, "1" * 9000), (4, "a@b" + ".c" * 4000)], "doc_id long, text string")
     got = {r.doc_id: r for r in pii.report(pii.find(df, folder), ["doc_id"]).collect()}
