@@ -125,14 +125,8 @@ def test_dart_signatures_estimate_weighted_jaccard():
     assert abs((signature[0] == signature[1]).mean() - want) < 0.03
 
 
-def test_repeated_substrings(spark, folder):
-    rng = random.Random(5)
-    base = "".join(rng.choice("abcdé fghij") for _ in range(1500))
-    rows = []
-    for i in range(60):
-        a = rng.randint(0, 1200)
-        text = "".join(rng.choice("xyz uvw") for _ in range(rng.randint(0, 150))) + base[a : a + rng.randint(50, 300)]
-        rows.append((i, None if i % 20 == 7 else "a" * 250 + text if i % 10 == 0 else text + text if i % 15 == 1 else text))
+def _plain_repeats(rows):
+    """doc -> (bytes, removed, kept): a window goes if it was seen before, in the order of keys."""
     seen, want = set(), {}
     for i, text in rows:
         raw = (text or "").encode()
@@ -142,8 +136,56 @@ def test_repeated_substrings(spark, folder):
                 gone[p : p + 100] = True
             seen.add(raw[p : p + 100])
         want[i] = (len(raw), int(gone.sum()), bytes(np.frombuffer(raw, np.uint8)[~gone]))
+    return want
+
+
+def _repeating_rows():
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdé fghij") for _ in range(1500))
+    rows = []
+    for i in range(60):
+        a = rng.randint(0, 1200)
+        text = "".join(rng.choice("xyz uvw") for _ in range(rng.randint(0, 150))) + base[a : a + rng.randint(50, 300)]
+        rows.append((i, None if i % 20 == 7 else "a" * 250 + text if i % 10 == 0 else text + text if i % 15 == 1 else text))
+    return rows
+
+
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_repeated_substrings(spark, folder, monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "BUCKET_ROWS", 50)
+    rows = _repeating_rows()
     got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder).collect()
-    assert {r.doc_id: (r.n_bytes, r.n_removed, bytes(r.kept)) for r in got} == want
+    assert {r.doc_id: (r.n_bytes, r.n_removed, bytes(r.kept)) for r in got} == _plain_repeats(rows)
+
+
+def test_repeated_substrings_of_odd_rows(spark, folder):
+    text = "the same words stand here and there, " * 6
+    rows = [(5, text, "a"), (2, text, "b"), (2, text, "c"), (None, text, "d"), (None, None, "e"), (2**63 - 1, text[:120], "f"), (9, "", "g"), (-4, text[7:], "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k string").withColumn("spans", F.lit(1))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed) for r in substring.remove_repeats(df, folder).collect())
+    # -4 repeats itself (37 bytes a turn); both rows of 2 are one document, all of whose windows but those in its first 106 bytes stand in -4
+    n, least = len(text), _plain_repeats([(-4, text[7:]), (2, text)])
+    assert got == sorted([(False, -4, n - 7, least[-4][1]), *[(False, 2, n, least[2][1])] * 2, (False, 5, n, n), (False, 9, 0, 0), (False, 2**63 - 1, 120, 120), (True, 0, n, n), (True, 0, 0, 0)])
+    assert substring.remove_repeats(df.limit(0), folder + "e").count() == 0
+
+
+def test_repeats_survive_equal_hashes(monkeypatch):
+    rng = random.Random(8)
+    base = bytes(rng.choice(b"abc") for _ in range(160))
+    raw = [bytes([rng.choice(b"xyz")]) * rng.randint(0, 3) + base[rng.randint(0, 9) :][: rng.randint(100, 140)] for _ in range(40)]
+    numbers = [np.array(x, np.int64) for x in ([7] * 40, range(40), [0] * 40, [0] * 40, [0] * 40)]
+
+    def removed():
+        k, _, s, e = substring.repeats(*numbers, raw)
+        return {(int(a), i) for a, b, d in zip(k, s, e) for i in range(b, d)}
+
+    want = {(i, p + j) for i, x in enumerate(raw) for p in range(len(x) - 99) for j in range(100) if any(x[p : p + 100] == y[p : p + 100] for y in raw[:i])}
+    assert removed() == want
+    weak = lambda own, a, b, n: np.ones(len(a), bool)  # noqa: E731  every hash agrees
+    monkeypatch.setattr(substring.Suffixes, "same", weak)
+    monkeypatch.setattr(c, "window_hashes", lambda prefix, starts, size: np.zeros(len(starts), np.uint64))
+    assert removed() == want
 
 
 def test_languages(spark, docs):
