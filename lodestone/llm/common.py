@@ -3,6 +3,7 @@ words, 64-bit hashing, shared scratch folders and connected components."""
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Iterator
 
@@ -21,9 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where the session has no such setting (single-machine tests) is one set."""
+    Only where a local session (single-machine tests) has no such setting is one set; on a
+    cluster that is an error, as no folder of one machine will do."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "/tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/lodestone-{uuid.uuid4().hex}"
@@ -57,12 +61,40 @@ def shards(batches: Iterator[pa.RecordBatch], column: str, limit: int = SHARD_BY
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, bounds = text_bytes(batch.column(column))
         at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + limit, "right")) - 1)
-            yield batch.slice(at, to - at)
-            at = to
+        for part in slices(batch.column(column), limit):
+            yield batch.slice(at, len(part))
+            at += len(part)
+
+
+def slices(column: pa.Array, limit: int = SHARD_BYTES) -> Iterator[pa.Array]:
+    """The column's texts again, about ``limit`` bytes at a time; a longer text is alone."""
+    _, bounds = text_bytes(column)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + limit, "right")) - 1)
+        yield column.slice(at, to - at)
+        at = to
+
+
+def opened(held):
+    """A broadcast value that this process does not keep."""
+    value = held.value
+    held.__dict__.pop("_value", None)
+    return value
+
+
+def groups(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of shards, of ``limit`` bytes of text and a shard at most."""
+    held, size = [], 0
+    for batch in shards(batches, column):
+        held.append(batch)
+        size += int(text_bytes(batch.column(column))[1][-1])
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -159,7 +191,7 @@ def window_hashes(prefix: np.ndarray, starts: np.ndarray | slice, size: int) ->
 EDGES_A_FILE = 400_000
 
 
-def components(edges: DataFrame, folder: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, folder: str) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the least node it is joined to.
 
     Alternates the two star steps (every neighbour to the least; then the lesser ones to the
@@ -169,7 +201,7 @@ def components(edges: DataFrame, folder: str, rounds: int = 60) -> DataFrame:
     files = max(1, -(-edges.count() // EDGES_A_FILE))  # the links only get fewer
     edges = edges.coalesce(files)
     last = None
-    for turn in range(rounds):
+    for turn in itertools.count():  # both star steps only ever lower a node's links, so this ends
         both = edges.union(edges.select(F.col("b"), F.col("a")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

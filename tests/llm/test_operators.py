@@ -1,8 +1,10 @@
 """Small fixtures against brute force: nulls, empty and long texts, ties, repeated rows, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -61,10 +63,55 @@ def test_bpe_matches_tiktoken(spark, docs):
     assert bpe.encoded(docs, path).where("text is null and n_tokens = 0").count() == 1
 
 
-def test_ppm_against_plain_model(spark, docs, folder):
-    got = ppm.scored(docs, F.lit(True), folder).collect()
-    assert len(got) == len(ROWS) and all(r.score <= 0 and r.n_known == r.n_tokens for r in got)
-    assert ppm.scored(docs, F.lit(False), folder + "x").agg(F.sum("n_known")).first()[0] == 0
+def _plain_ppm(training, text, order=5):
+    """log10 probability of the text and its end, by escapes and exclusion read from the definition."""
+    seen = {}
+    for raw in training:
+        symbols = [255] * order + list(raw.lower().encode()) + [255]
+        for i in range(order, len(symbols)):
+            for k in range(order + 1):
+                table = seen.setdefault(tuple(symbols[i - k : i]), {})
+                table[symbols[i]] = table.get(symbols[i], 0) + 1
+    symbols, total = [255] * order + list(text.lower().encode()) + [255], 0.0
+    for i in range(order, len(symbols)):
+        gone = set()
+        for k in range(order, -1, -1):
+            table = {x: n for x, n in seen.get(tuple(symbols[i - k : i]), {}).items() if x not in gone}
+            if not table:
+                continue
+            whole = sum(table.values()) + len(table)
+            if symbols[i] in table:
+                total += math.log10(table[symbols[i]] / whole)
+                break
+            total += math.log10(len(table) / whole)
+            gone |= set(table)
+        else:
+            total -= math.log10(256 - len(gone))
+    return total
+
+
+@pytest.mark.parametrize("block, head", [(1 << 21, 1 << 19), (40, 5)])
+def test_ppm_against_plain_model(spark, docs, folder, monkeypatch, block, head):
+    monkeypatch.setattr(ppm, "BLOCK_GRAMS", block)
+    monkeypatch.setattr(ppm, "HEAD_WORDS", head)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aab é\tBc") for _ in range(rng.randint(0, 40))) for _ in range(24)] + ["zzz q", "", None, "abab abab", "abab abab"]
+    rows = [(i if i != 4 else None, t, i % 3 > 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").withColumn("_row", F.lit("x"))
+    got = {(r.doc_id, r.train): r for r in ppm.scored(df, F.col("train"), folder).collect()}
+    training = [t or "" for _, t, own in rows if own]
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({i: i + 32 for i in range(65, 91)})) + ["the end"]
+    counts = Counter(w for t in training for w in split(t))
+    n, v = sum(counts.values()), len(counts)
+    assert len(got) == len(rows)
+    for i, text, own in rows:
+        r = got[i, own]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(split(text)), sum(w in counts for w in split(text)), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in split(text)), abs_tol=1e-4)
+        assert math.isclose(r.score, _plain_ppm(training, text or ""), rel_tol=1e-5, abs_tol=1e-4)
+    none = ppm.scored(docs, F.lit(False), folder + "x").collect()
+    assert len(none) == len(ROWS) and all(r.n_known == 0 and math.isclose(r.score, -math.log10(256) * (len(dict(ROWS).get(r.doc_id) or "") + 1), rel_tol=1e-6) for r in none)
+    assert ppm.scored(docs.limit(0), F.lit(True), folder + "y").count() == 0
 
 
 def test_fingerprints(spark, docs):
@@ -191,10 +238,10 @@ def test_repeats_survive_equal_hashes(monkeypatch):
 def test_languages(spark, docs):
     rows = [("en", "the cat and the dog")] * 3 + [("de", "der hund und die katze")] * 3 + [(None, "skip")]
     model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
-    table = langid._Table(model)
+    table = langid.Table(model)
     assert langid.predict(table, ["the dogs", "die hunde", "123", ""])[0] == ["en", "de", "und", "und"]
     assert langid.languages(docs, model).count() == len(ROWS)
-    assert langid.predict(langid._Table(langid.Model([])), ["word"])[0] == ["und"]
+    assert langid.predict(langid.Table(langid.Model([])), ["word"])[0] == ["und"]
 
 
 def test_toxicity(spark, docs):
