@@ -7,7 +7,11 @@ match just ended), which finds the same leftmost matches in linear time and cons
 
 The corpus then says how strongly a term reveals an entity: of all places where the term stands,
 the share that is near the entity, in bits -log2. A term with enough different neighbourhoods
-and few enough bits is a disclosure wherever it stands, and is sanitised like the entity."""
+and few enough bits is a disclosure wherever it stands, and is sanitised like the entity.
+
+Near is within 80 code points and six words on a side, and not beyond the next match of the same
+kind; a term has three letters or more. A name that never stands so near to its entity, or is
+shorter, is not found."""
 
 from __future__ import annotations
 
@@ -26,6 +30,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*PATTERNS, "term"]
+#: What every valid match holds: texts without it are not searched for the kind.
+HOLDS = {
+    "email": lambda t: F.contains(t, F.lit("@")),
+    "ip": lambda t: t.rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"),
+    "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"),
+    "phone": lambda t: F.contains(t, F.lit("+")),
+}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: Neighbourhood: so many characters and words on each side.
 NEAR_CHARS, NEAR_WORDS = 80, 6
@@ -70,7 +81,8 @@ def _located(df: DataFrame, kind: str, pattern: Column, text: str) -> DataFrame:
     """``df`` with _k_<kind>: array of (start, rank, end, kind, value, left, right)."""
     rank = KINDS.index(kind)
     m, p, s, b = (f"_{x}_{kind}" for x in "mpsb")
-    df = df.withColumn(m, F.regexp_extract_all(text, pattern, F.lit(0)))
+    found = F.regexp_extract_all(text, pattern, F.lit(0))
+    df = df.withColumn(m, F.when(HOLDS[kind](F.col(text)), found) if kind in HOLDS else found)
     some = F.size(m) > 0
     df = df.withColumn(p, F.when(some, F.split(text, pattern, -1)))
     df = df.withColumn(s, F.when(some, F.zip_with(p, F.array_append(F.col(m), F.lit("")), lambda x, y: F.length(x) + F.length(y))))
@@ -80,7 +92,7 @@ def _located(df: DataFrame, kind: str, pattern: Column, text: str) -> DataFrame:
         start = _before(F.col(s), F.col(b), i) + F.length(F.get(F.col(p), i))
         return F.struct(
             start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(value)).alias("end"), F.lit(kind).alias("kind"), value.alias("value"),
-            F.right(F.get(F.col(p), i), F.lit(NEAR_CHARS)).alias("left"), F.left(F.get(F.col(p), i + 1), F.lit(NEAR_CHARS)).alias("right"),
+            F.right(F.get(F.col(p), i), F.lit(NEAR_CHARS + 1)).alias("left"), F.left(F.get(F.col(p), i + 1), F.lit(NEAR_CHARS + 1)).alias("right"),
         )
 
     rows = F.filter(F.transform(m, row), lambda x: _valid(kind, x["value"]))
@@ -106,17 +118,22 @@ def disclosing_terms(spans: DataFrame, folder: str, contexts: int = CONTEXTS, bi
     Counts of (entity, term, neighbourhood) are pre-aggregated, so copies of one text count as
     one neighbourhood, and an entity or term in a third of all rows sends a row a task."""
     spans = spans.select("_t", "_spans")
-    near = spans.select(F.explode("_spans").alias("s")).select(
+
+    def cut(x: str, end: str) -> Column:  # without a word that goes on beyond the neighbourhood
+        return F.lower(F.when(F.length(x) > NEAR_CHARS, F.regexp_replace(x, end, "")).otherwise(F.col(x)))
+
+    # explode_outer: of explode Spark infers a filter that would compute all spans once more
+    near = spans.select(F.explode_outer("_spans").alias("s")).where("s is not null").select(
         F.md5(F.concat_ws(":", "s.kind", F.lower("s.value"))).alias("entity"),
-        F.slice(F.reverse(F.regexp_extract_all(F.lower("s.left"), F.lit(_TERM), F.lit(0))), 1, NEAR_WORDS).alias("l"),
-        F.slice(F.regexp_extract_all(F.lower("s.right"), F.lit(_TERM), F.lit(0)), 1, NEAR_WORDS).alias("r"),
+        F.slice(F.reverse(F.regexp_extract_all(cut("s.left", r"^\p{L}+"), F.lit(_TERM), F.lit(0))), 1, NEAR_WORDS).alias("l"),
+        F.slice(F.regexp_extract_all(cut("s.right", r"\p{L}+$"), F.lit(_TERM), F.lit(0)), 1, NEAR_WORDS).alias("r"),
     )
-    pairs = near.select("entity", F.xxhash64("l", "r").alias("place"), F.explode(F.array_distinct(F.concat("l", "r"))).alias("term"))
+    pairs = near.select("entity", F.xxhash64("l", "r").alias("place"), F.explode_outer(F.array_distinct(F.concat("l", "r"))).alias("term")).where("term is not null")
     counted = pairs.groupBy("entity", "term", "place").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count("*").alias("places"))
     likely = c.materialise(counted.where(F.col("places") >= contexts).groupBy("term").agg(F.max("n").alias("n")), folder, "likely")
     if likely.isEmpty():
         return None
-    tokens = spans.select(F.explode(F.regexp_extract_all(F.lower("_t"), F.lit(_TERM), F.lit(0))).alias("term"))
+    tokens = spans.select(F.explode_outer(F.regexp_extract_all(F.lower("_t"), F.lit(_TERM), F.lit(0))).alias("term"))
     total = tokens.join(likely.select("term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("total"))
     terms = likely.join(total, "term").select("term", (-F.log2(F.least(F.col("n") / F.col("total"), F.lit(1.0)))).alias("bits")).where(F.col("bits") <= bits)
     terms = c.materialise(terms, folder, "terms")
@@ -127,14 +144,14 @@ def find(docs: DataFrame, folder: str, text: str = "text", contexts: int = CONTE
     """``docs`` with _t (the text, null as empty) and _spans: base matches and disclosing terms.
 
     Statistics cover all rows of ``docs``. Empty tables have no terms; repeated rows count as
-    often as they stand, except that equal neighbourhoods are one. Internal columns replace
-    those of the same name."""
+    often as they stand, except that equal neighbourhoods are one, so ties of terms are all kept.
+    Null texts have no spans. Columns named _t, _spans, _id, _p or _terms are replaced."""
     found = base_spans(docs, text)
     terms = disclosing_terms(found, folder, contexts, bits)
     if terms is None:
         return found
     held = found.withColumn("_id", F.md5("_t"))
-    own = held.select("_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(_TERM), F.lit(0)))).alias("term")).join(terms, "term", "left_semi").groupBy("_id").agg(F.collect_set("term").alias("_terms"))
+    own = held.select("_id", F.explode_outer(F.array_distinct(F.regexp_extract_all(F.lower("_t"), F.lit(_TERM), F.lit(0)))).alias("term")).join(terms, "term", "left_semi").groupBy("_id").agg(F.collect_set("term").alias("_terms"))
     held = held.join(own, "_id", "left")
     pattern = F.when(F.col("_terms").isNull(), F.lit(r"(?!)")).otherwise(F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_sort("_terms"), "|"), F.lit(r")(?!\p{L})")))
     held = _located(held.withColumn("_p", pattern), "term", F.col("_p"), "_t")
