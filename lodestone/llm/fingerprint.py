@@ -8,15 +8,18 @@ that Spark ships, called with SQL's ``reflect``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as c
 
-#: Rows that share a bucket of consecutive keys, about; and the most buckets, whose numbers
-#: (not rows) the driver orders. With more rows the buckets grow, and their window spills.
+#: Rows that share a bucket of consecutive keys, about; and the most buckets, whose bounds (not
+#: rows) the driver holds. With more rows the buckets grow, and their window spills.
 BUCKET_ROWS = 2000
 MOST_BUCKETS = 50_000
+#: Bounds of buckets in one block: a key's bucket is found by its block first.
+BLOCK_BOUNDS = 256
 #: Repeated fingerprints that are broadcast at most; more of them are joined by shuffle.
 MOST_BROADCAST = 1_000_000
 
@@ -46,8 +49,6 @@ def _classes(made: DataFrame, key: str) -> DataFrame:
 
     Only rows whose fingerprint occurs again are grouped by their bytes. ``form`` is null where all
     rows of the fingerprint have the same bytes; it tells classes apart where they have not."""
-    from pyspark.sql import Window
-
     again = made.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
     small = again.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     if small:
@@ -76,28 +77,48 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return _with_class(made, _classes(made, key), key, "canonical_text").select(key, "fingerprint", "class_id", "class_size")
 
 
+def _bucket(k: Column, bounds: list[int]) -> Column:
+    """How many of the descending bounds are above the key; nulls come after all of them."""
+    if not bounds:
+        return F.when(k.isNull(), 1).otherwise(0)
+    blocks = [bounds[i : i + BLOCK_BOUNDS] for i in range(0, len(bounds), BLOCK_BOUNDS)]
+
+    def literal(x: list[int]) -> Column:
+        return F.from_json(F.lit(str(x)), "array<bigint>")
+
+    block = F.size(F.filter(literal([x[-1] for x in blocks]), lambda x: x > k))
+    own = F.get(F.from_json(F.lit(str(blocks)), "array<array<bigint>>"), block)
+    inside = F.coalesce(F.size(F.filter(own, lambda x: x > k)), F.lit(0))
+    return F.when(k.isNull(), len(bounds) + 1).otherwise(F.least(block * BLOCK_BOUNDS, F.lit(len(bounds))) + F.greatest(inside, F.lit(0)))
+
+
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, next_text): the text of the next lesser key; after the least, of the greatest.
 
-    Keys are dealt into buckets of consecutive values, so that one shuffle brings neighbours
-    together; the greatest row of each bucket is sent to the bucket before it as well. Null keys
-    come last, equal keys are ordered by text."""
+    Keys are whole numbers of at most 64 bits. They are dealt into buckets of consecutive values
+    between quantiles of all keys, so that uneven keys make even buckets and one shuffle brings
+    neighbours together; the first row of each bucket is sent to the bucket before it as well. Null
+    keys come last, equal keys are ordered by text; rows of one key are in one bucket, which spills."""
+    kind = docs.select(F.col(f"`{key}`")).schema[0].dataType
+    if not isinstance(kind, (T.IntegralType, T.NullType)):
+        raise TypeError(f"{key} must hold whole numbers, not {kind.simpleString()}")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("k"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
-    low, high, n = rows.agg(F.min("k"), F.max("k"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) * BUCKET_ROWS // max(1, n)), -(-(high - low + 1) // MOST_BUCKETS))
-    last = (high - low) // width + 1  # that of null keys
-    bucketed = rows.select("k", "t", F.coalesce(F.floor((F.lit(high) - F.col("k")) / F.lit(width)), F.lit(last)).cast("long").alias("b"))
+    n = rows.agg(F.count("k")).first()[0]
+    buckets = min(MOST_BUCKETS, -(-n // BUCKET_ROWS))
+    bounds = []
+    if buckets > 1:
+        shares = [i / buckets for i in range(1, buckets)]
+        bounds = sorted(set(rows.agg(F.percentile_approx("k", shares, max(10_000, 4 * buckets))).first()[0]), reverse=True)
+    bucketed = rows.select("k", "t", _bucket(F.col("k"), bounds).cast("long").alias("b"))
     # the first row of each bucket, in the order of keys descending, nulls last, then text
-    heads = bucketed.groupBy("b").agg(F.min_by("k", F.struct(-F.col("k"), F.col("t"))).alias("k"), F.min_by("t", F.struct(-F.col("k"), F.col("t"))).alias("t"))
+    first = F.struct(F.bitwise_not("k"), F.col("t"))
+    heads = bucketed.groupBy("b").agg(F.min_by("k", first).alias("k"), F.min_by("t", first).alias("t"))
     ids = [r["b"] for r in heads.select("b").orderBy("b").toLocalIterator()]
     before = {b: a for a, b in zip([ids[-1], *ids], ids)} if ids else {}
     moved = heads.where(F.lit(bool(before)))
     table = docs.sparkSession.createDataFrame(list(before.items()) or [(0, 0)], "b long, to long")
     sent = moved.join(F.broadcast(table), "b").select("k", "t", F.col("to").alias("b"), F.lit(1).alias("sent"))
     both = bucketed.withColumn("sent", F.lit(0)).unionByName(sent)
-    from pyspark.sql import Window
-
     order = Window.partitionBy("b").orderBy("sent", F.col("k").desc_nulls_last(), "t")
     return both.withColumn("next_text", F.lead("t").over(order)).where("sent = 0").select(F.col("k").alias(key), F.col("t").alias("text"), "next_text")
 

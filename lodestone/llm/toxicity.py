@@ -96,7 +96,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, turns: int = 40, ridge: float = 0.05
 class Distances(dict):
     """Window -> distance; each different window is compressed once and kept, up to ``most``."""
 
-    def __init__(self, model: Model, most: int = 400_000):
+    def __init__(self, model: Model, most: int = 200_000):
         super().__init__()
         self.model, self.most = model, most
         shape = zstandard.ZstdCompressionParameters(window_log=20, hash_log=18, chain_log=19, search_log=8, min_match=6, target_length=128, strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_dict_id=0, write_checksum=0)
@@ -125,15 +125,15 @@ class Distances(dict):
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = FIT_ROWS) -> Model:
     """A model of at most ``rows`` labelled documents of each class, those of least key hash.
 
-    Null labels and null keys are left out; the chosen keys (bounded) are broadcast."""
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
-    count = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    Null labels and null keys are left out; the chosen keys (bounded) are broadcast. Of rows that
+    repeat a key the least text is taken; a key labelled both ways counts as toxic. The same rows
+    come back each time, whatever their order."""
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(F.col(label).cast("int")).alias("y"))
     texts = {}
     for y in (1, 0):
-        share = int(min(1.0, rows * 0.95 / max(1, count.get(y, 0))) * 2**31) if count.get(y, 0) > rows else 2**31
-        chosen = known.where((F.col("y") == y) & (F.pmod(F.xxhash64("k"), F.lit(2**31)) < share)).select("k").limit(rows)
-        found = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).join(F.broadcast(chosen.distinct()), "k", "left_semi")
-        texts[y] = sorted((r["t"] or "" for r in found.limit(2 * rows).toLocalIterator()), key=lambda t: hash_of(t))
+        chosen = known.where(F.col("y") == y).select("k").orderBy(F.xxhash64("k"), "k").limit(rows)
+        found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).join(F.broadcast(chosen), "k", "left_semi").groupBy("k").agg(F.min("t").alias("t"))
+        texts[y] = sorted((r["t"] for r in found.select("t").toLocalIterator()), key=lambda t: (hash_of(t), t))
     return Model(texts[1], texts[0])
 
 
@@ -143,9 +143,6 @@ def hash_of(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-_held: dict[int, Distances] = {}
-
-
 def scored(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with score, the calibrated probability that the text is toxic.
 
@@ -156,14 +153,12 @@ def scored(docs: DataFrame, model: Model, text: str = "text", keep_text: bool =
     keep = [k for k in docs.columns if keep_text or k != text]
     schema = docs.select(*[F.col(f"`{k}`") for k in keep]).schema.add("score", T.DoubleType())
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(schema)
-        table = _held.get(id(held.value))
-        if table is None:
-            _held.clear()
-            table = _held[id(held.value)] = Distances(held.value)
+        table = Distances(held.value)
         for batch in c.shards(batches, text):
             texts = batch.column(text).cast(pa.large_string()).fill_null("").to_pylist()
             made = pa.array([table.score(t) for t in texts], pa.float64())

@@ -40,11 +40,19 @@ def classify(pages: DataFrame, key: str = "page_id", html: str = "html", least:
 
 
 def _urn(key: Column) -> Column:
-    return F.concat(F.lit("<urn:lodestone:page:"), F.coalesce(key.cast("string"), F.lit("null")), F.lit(">"))
+    return F.when(key.isNull(), "<urn:lodestone:no-page>").otherwise(F.concat(F.lit("<urn:lodestone:page:"), F.url_encode(key.cast("string")), F.lit(">")))
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html") -> None:
-    """Writes a record for each row of classified pages as WARC/1.1 files below ``path``.
+def _key(urn: Column) -> Column:
+    """The key that ``_urn`` wrote, as a string; null for a null key."""
+    return F.when(urn.startswith("<urn:lodestone:page:"), F.url_decode(F.regexp_extract(urn, r"^<urn:lodestone:page:(.*)>$", 1)))
+
+
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", compression: str = "none") -> None:
+    """Writes a record for each row of classified pages as WARC/1.1 files below ``path``, plain or ``gzip``.
+
+    Keys are percent-encoded, so a line break in one ends no header; a null key has a name of its
+    own. An empty table writes no record.
 
     A revisit has no payload; its digest and length headers describe the full payload. Line
     breaks in URLs, which would end a header, are escaped. A record ends with CR LF CR LF, of
@@ -59,7 +67,7 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         F.when(F.col("record_type") == "revisit", F.concat(F.lit(f"{line}WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest{line}WARC-Refers-To: "), _urn(F.col("refers_to")))).otherwise(F.lit("")),
         F.lit(f"{line}Content-Type: text/html{line}Content-Length: "), F.octet_length(body).cast("string"), F.lit(line * 2), body, F.lit("\r\n\r"),
     )
-    pages.select(record.alias("value")).write.mode("overwrite").option("lineSep", "\n").text(path)
+    pages.select(record.alias("value")).write.mode("overwrite").option("lineSep", "\n").option("compression", compression).text(path)
 
 
 # --------------------------------------------------------------------- reading
@@ -106,7 +114,8 @@ class WarcReader(DataSourceReader):
             return
         system, _ = _system(self.path)
         rows, size = [], 0
-        with system.open_input_file(path) as raw:
+        packed = path.endswith(".gz")
+        with system.open_input_stream(path, compression="gzip") if packed else system.open_input_file(path) as raw:
             for row in records(raw, path, self.wanted, "payload" in self.columns):
                 rows.append(row)
                 size += len(row["payload"] or b"") + 400
@@ -122,11 +131,11 @@ def _batch(rows: list[dict], target: pa.Schema) -> pa.RecordBatch:
 
 
 class _Window:
-    """Buffered forward reading with cheap skips over an input file."""
+    """Buffered forward reading with cheap skips over an input file; of a stream, what is skipped is read."""
 
     def __init__(self, raw, step: int = 1 << 20):
         self.raw, self.step, self.held, self.at = raw, step, b"", 0
-        self.size = raw.size()
+        self.size = raw.size() if raw.seekable() else None
 
     def until(self, mark: bytes) -> bytes | None:
         scanned = 0
@@ -152,16 +161,28 @@ class _Window:
     def skip(self, n: int) -> None:
         if n <= len(self.held):
             self.held = self.held[n:]
+            self.at += n
+        elif self.size is None:
+            while n > len(self.held):
+                n -= len(self.held)
+                self.at += len(self.held)
+                self.held = self.raw.read(self.step)
+                if not self.held:
+                    raise ValueError("the archive ends inside a record")
+            self.skip(n)
         else:
             self.raw.seek(self.at + n)
             self.held = b""
-        self.at += n
-        if self.at > self.size:
-            raise ValueError("the archive ends inside a record")
+            self.at += n
+            if self.at > self.size:
+                raise ValueError("the archive ends inside a record")
 
 
 def records(raw, path: str, wanted: dict[str, set], with_payload: bool) -> Iterator[dict]:
-    """The records of one archive: header block first; payloads of unwanted records are skipped."""
+    """The records of one archive: header block first; payloads of unwanted records are skipped.
+
+    A record without a Content-Length of digits is an error, as nothing tells where it ends. Offsets
+    count uncompressed bytes."""
     window = _Window(raw)
     while True:
         start = window.at
@@ -177,6 +198,8 @@ def records(raw, path: str, wanted: dict[str, set], with_payload: bool) -> Itera
         for line in lines:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
+        if not headers.get("content-length", "").isdecimal():
+            raise ValueError(f"{path}: no Content-Length in the record that begins at {start}")
         size = int(headers["content-length"])
         row = {k: headers.get(h) for k, h in _HEADER_OF.items()}
         if all(row[k] in values for k, values in wanted.items()):
@@ -217,16 +240,14 @@ def read_archives(spark: SparkSession, path: str, columns: list[str] | None = No
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:
     """Archives ``pages`` and reads them back: page_id, payload_bytes, payload_digest, record_type
     and refers_to. Of responses, size and digest are computed from the payload read; of revisits
-    they come from the headers, and the payloads are skipped."""
+    they come from the headers, and the payloads are skipped. Null keys come back null; keys that
+    repeat come back as often; an empty table gives no rows; other columns are left out."""
     write_archives(classify(pages), folder)
     spark = pages.sparkSession
 
-    def key(name: str) -> Column:
-        return F.nullif(F.regexp_extract(name, r"^<urn:lodestone:page:(.*)>$", 1), F.lit("null"))
-
     full = read_archives(spark, folder, ["record_type", "record_id", "payload"]).where("record_type = 'response'")
-    full = full.select(key("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("string").alias("refers_to"))
+    full = full.select(_key(F.col("record_id")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("string").alias("refers_to"))
     again = read_archives(spark, folder, ["record_type", "record_id", "refers_to", "payload_digest", "payload_length"]).where("record_type = 'revisit'")
-    again = again.select(key("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type", key("refers_to").alias("refers_to"))
+    again = again.select(_key(F.col("record_id")).alias("page_id"), F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type", _key(F.col("refers_to")).alias("refers_to"))
     kind = pages.schema["page_id"].dataType
     return full.unionByName(again).withColumn("page_id", F.col("page_id").cast(kind)).withColumn("refers_to", F.col("refers_to").cast(kind))
