@@ -130,7 +130,7 @@ def boundaries(points: np.ndarray) -> np.ndarray:
 class Merger(dict):
     """Piece (str) -> its ids in decimal form and the bytes that they decode to; misses are merged and kept, up to ``most`` pieces of bounded length."""
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], most: int = 200_000):
         super().__init__()
         self.ranks, self.most = ranks, most
         self.spelt = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -251,14 +251,15 @@ def encoded(docs: DataFrame, path: str, text: str = "text", digests: bool = Fals
     for name in added[1:]:
         schema = schema.add(name, T.StringType() if digests else T.ArrayType(T.IntegerType()))
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(schema)
+        merger = Merger(load_ranks(path))
         for batch in c.shards(batches, text):
             texts = batch.column(text).cast(pa.large_string()).fill_null("").to_pylist()
             count, first, second = [], [], []
-            merger = model(path)
             for own, offsets in pieces(texts):
                 held = [merger[piece] for piece in own]
                 written = " ".join([x[0] for x in held])

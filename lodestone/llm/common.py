@@ -3,6 +3,10 @@ words, 64-bit hashing, shared scratch folders and connected components."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import itertools
 import uuid
 from collections.abc import Iterator
@@ -126,6 +130,24 @@ def words(lowered: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return runs(_IS_WORD[lowered], bounds)
 
 
+def released(run):
+    """A task's generator that gives its memory back when it ends: a reused worker keeps no tables
+    of one stage through the next ones."""
+
+    @functools.wraps(run)
+    def bounded(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return bounded
+
+
 # --------------------------------------------------------------------- hashing
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 2**64, 256, dtype=np.uint64)

@@ -10,14 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
 
 WINDOW = 13
-#: Bytes of test text that one pass holds; a longer benchmark takes several passes.
-BLOCK_BYTES = 8 << 20
+#: Bytes of test text in one block; of several blocks a task has one in its memory at a time.
+BLOCK_BYTES = 1 << 20
+#: Bytes of text that a task searches with each block of several before it takes the next one.
+GROUP_BYTES = 16 << 20
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA5A3564E27F8862B))
 _TOP = np.uint64(2**64 - 1)
 _BITS = np.uint64(44)  # 64 - 20
@@ -196,39 +198,36 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scan(docs: DataFrame, test, column: str, first: bool, keep: list[str]) -> DataFrame:
-    """One pass of all texts against one block of test suffixes."""
-    schema = docs.select(*[F.col(f"`{k}`") for k in keep]).schema
-    for field in docs.limit(0).selectExpr(*[f"cast(null as {t}) as {n}" for n, t in (x.split(" ", 1) for x in _SCHEMA.replace(", ", "|").split("|"))]).schema:
-        schema = schema.add(field)
+def _blocks(spark: SparkSession, benchmark: DataFrame, item_id: str, item_text: str, window: int, block_bytes: int) -> list:
+    """Broadcast test suffixes, built one block after the other."""
+    plain = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").cast("string").alias("text"))
+    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    out = []
+    for k in range(blocks):
+        own = plain if blocks == 1 else plain.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
+        out.append(spark.sparkContext.broadcast(TestSuffixes([(r["id"], r["text"]) for r in own.toLocalIterator()], window)))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
 
-        target = to_arrow_schema(schema)
-        for batch in c.shards(batches, column):
-            total, found = _hits(test.value, batch.column(column))
-            n = batch.num_rows
-            spans: list[list] = [[]] * n
-            items: list[list] = [[]] * n
-            longest, at = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for row, s, i, k, a in found:
-                spans[row], items[row], longest[row], at[row] = s, sorted(i), k, a
-            if not first:
-                old = {k: batch.column(k).to_pylist() for k in COLUMNS}
-                for r in range(n):
-                    spans[r] = _merge([*([x["start"], x["end"]] for x in old["hit_spans"][r]), *spans[r]])
-                    items[r] = sorted({*old["item_ids"][r], *items[r]})
-                    if old["longest_match"][r] >= longest[r]:
-                        longest[r], at[r] = old["longest_match"][r], old["longest_at"][r]
-            hit = [sum(e - s for s, e in x) for x in spans]
-            flat = [x for own in spans for x in own]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in spans]))).astype(np.int32)
-            pairs = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.int64()), pa.array([x[1] for x in flat], pa.int64())], ["start", "end"])
-            made = [pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pairs), pa.array(items, pa.list_(pa.string())), pa.array(longest), pa.array(at)]
-            yield pa.RecordBatch.from_arrays([a.cast(t.type) for a, t in zip([*(batch.column(k) for k in keep), *made], target)], schema=target)
-
-    return docs.mapInArrow(run, schema)
+def _searched(tests: list, columns: list[pa.Array]) -> list[tuple[np.ndarray, dict[int, list]]]:
+    """Words of each text, and for those with hits [spans, items, longest, its place], over all blocks."""
+    out: list = [None] * len(columns)
+    for held in tests:
+        test = held.value if len(tests) == 1 else c.opened(held)
+        for i, column in enumerate(columns):
+            total, found = _hits(test, column)
+            _, hits = out[i] = out[i] or (total, {})
+            for row, spans, items, longest, at in found:
+                old = hits.get(row)
+                if old is None:
+                    hits[row] = [spans, items, longest, at]
+                else:
+                    old[0], old[1] = _merge([*old[0], *spans]), old[1] | items
+                    if longest > old[2]:
+                        old[2:] = [longest, at]
+        del test
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, keep_text: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -236,29 +235,52 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     longest_at (its first word) and contaminated (n_hit > 0 and 20 * n_hit >= n_words).
 
     The texts are read once and never shuffled. The test suffixes go to the executors in
-    blocks of at most ``block_bytes`` of benchmark text (an item is never split, so one item
-    longer than that is a block), one pass over the texts for each block.
+    blocks of about ``block_bytes`` of benchmark text (an item is never split). A match shorter than
+    a window is none: longest_match is 0 then.
     Null and empty texts have no words and no hits; items without words have no windows;
     null item_ids are written ``null``; items that repeat an item_id count once; rows of
     documents may repeat and are judged each. Columns of ``docs`` that have the name of an
     added column are replaced. An empty benchmark hits nothing."""
-    spark = docs.sparkSession
     docs = c.without(docs, [*COLUMNS, "contaminated"])
-    plain = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").cast("string").alias("text"))
-    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    keep = docs.columns
-    for k in range(blocks):
-        own = plain if blocks == 1 else plain.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k)
-        rows = [(r["id"], r["text"]) for r in own.toLocalIterator()]
-        test = spark.sparkContext.broadcast(TestSuffixes(rows, window))
-        last = k == blocks - 1
-        docs = _scan(docs, test, text, k == 0, [x for x in keep if keep_text or not last or x != text])
-    return docs.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their columns as they were."""
-    names = docs.columns
-    wrapped = docs.select(F.struct(*[F.col(f"`{x}`") for x in names]).alias("_row"), F.col(f"`{options.pop('text', 'text')}`").cast("string").alias("text"))
-    return contamination(wrapped, benchmark, **options).where(~F.col("contaminated")).select("_row.*")
+    tests = _blocks(docs.sparkSession, benchmark, item_id, item_text, window, block_bytes)
+    keep = [x for x in docs.columns if keep_text or x != text]
+    schema = docs.select(*[F.col(f"`{k}`") for k in keep]).schema
+    for field in docs.limit(0).selectExpr(*[f"cast(null as {t}) as {n}" for n, t in (x.split(" ", 1) for x in _SCHEMA.replace(", ", "|").split("|"))]).schema:
+        schema = schema.add(field)
+
+    @c.released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(schema)
+        for group in c.groups(batches, text, GROUP_BYTES if len(tests) > 1 else 0):
+            for batch, (total, hits) in zip(group, _searched(tests, [b.column(text) for b in group])):
+                found = [hits.get(r, ([], (), 0, 0)) for r in range(batch.num_rows)]
+                spans = [x[0] for x in found]
+                flat = [x for own in spans for x in own]
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in spans]))).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([pa.array([x[0] for x in flat], pa.int64()), pa.array([x[1] for x in flat], pa.int64())], ["start", "end"])
+                made = [pa.array(total, pa.int64()), pa.array([sum(e - s for s, e in x) for x in spans], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pairs), pa.array([sorted(x[1]) for x in found], pa.list_(pa.string())), *(pa.array([x[i] for x in found], pa.int64()) for i in (2, 3))]
+                yield pa.RecordBatch.from_arrays([a.cast(t.type) for a, t in zip([*(batch.column(k) for k in keep), *made], target)], schema=target)
+
+    return docs.mapInArrow(run, schema).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns as they were. Only the
+    texts go to Python, and only the verdicts come back; the rules are those of ``contamination``."""
+    tests = _blocks(docs.sparkSession, benchmark, item_id, item_text, window, block_bytes)
+
+    @F.arrow_udf("boolean")
+    @c.released
+    def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            flags = []
+            for total, hits in _searched(tests, list(c.slices(texts))):
+                n_hit = np.zeros(len(total), np.int64)
+                for row, (spans, *_) in hits.items():
+                    n_hit[row] = sum(e - s for s, e in spans)
+                flags.append((n_hit > 0) & (20 * n_hit >= total))
+            yield pa.array(np.concatenate(flags) if flags else np.zeros(0, bool))
+
+    return docs.where(~contaminated(F.col(f"`{text}`").cast("string")))

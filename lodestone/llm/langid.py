@@ -6,21 +6,20 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import common as c
 
-#: Labelled rows that the model is fitted on at most; taken by a hash of the text.
+#: Different labelled texts that the model is fitted on at most, as many of each language.
 FIT_ROWS = 2500
-#: Words beyond so many code points are scored by their n-grams only.
-WORD_CHARS = 40
 LONGEST_GRAM = 5
+#: Words whose scores a task remembers.
+HELD_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -29,7 +28,8 @@ def words_of(text: str) -> list[str]:
 
 
 class Model:
-    """Per-language word and n-gram log10 frequencies from labelled texts."""
+    """Per-language word and n-gram log10 frequencies from labelled texts. A word or n-gram that
+    stands once in all of them is no evidence: such words are scored as unseen ones."""
 
     def __init__(self, rows: list[tuple[str, str]], longest: int = LONGEST_GRAM):
         self.labels = sorted({lang for lang, _ in rows})
@@ -42,112 +42,128 @@ class Model:
                 words[word][of[lang]] += k
         total = np.maximum(sum(words.values(), np.zeros(n)), 1)
         known = len(words) + 1
-        self.words = {w: np.log10((k + 0.5) / (total + 0.5 * known)).astype(np.float32) for w, k in words.items() if k.sum() > 1 and len(w) <= WORD_CHARS}
         grams: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(n))
         for word, k in words.items():
-            marked = f"^{word[:WORD_CHARS]}$"
+            marked = f"^{word}$"
             for size in range(1, longest + 1):
                 for i in range(len(marked) - size + 1):
                     grams[marked[i : i + size]] += np.sqrt(k)
         sums = np.ones((longest + 1, n))
         for g, k in grams.items():
             sums[len(g)] += k
-        self.grams = {g: np.log10((k + 0.5) / (sums[len(g)] + 0.5 * known)).astype(np.float32) for g, k in grams.items() if k.sum() > 1}
+        #: word or n-gram -> row of ``rows``: its score in each language
+        self.words, self.grams = ({x: i for i, x in enumerate(x for x, k in table.items() if k.sum() > 1)} for table in (words, grams))
+        self.word_rows = np.array([np.log10((words[w] + 0.5) / (total + 0.5 * known)) for w in self.words], np.float32).reshape(-1, max(1, n))
+        self.gram_rows = np.array([np.log10((grams[g] + 0.5) / (sums[len(g)] + 0.5 * known)) for g in self.grams], np.float32).reshape(-1, max(1, n))
         self.floor = np.full(n, -math.log10(2 * known + float(np.max(total, initial=1.0))), np.float32)
 
     def unseen(self, word: str) -> np.ndarray:
         """The mean over positions of the longest n-gram known there, else the next shorter."""
         marked = f"^{word}$"
-        total, at, steps = np.zeros(len(self.labels), np.float32), 0, 0
-        while at < len(marked):
+        held, floors = [], 0
+        for at in range(len(marked)):
             for size in range(min(self.longest, len(marked) - at), 0, -1):
-                score = self.grams.get(marked[at : at + size])
-                if score is not None:
-                    total += score
+                row = self.grams.get(marked[at : at + size])
+                if row is not None:
+                    held.append(row)
                     break
             else:
-                total += self.floor
-            at += 1
-            steps += 1
-        return total / steps
+                floors += 1
+        return (self.gram_rows[held].sum(0) + self.floor * floors) / len(marked)
 
 
-class _Table(dict):
-    """word -> row of ``rows``; words are scored once and kept, up to ``most``."""
+class Table(dict):
+    """word -> row of ``rows``: its score in each language, and whether it is known. Words are scored
+    once and kept, up to ``most``."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = HELD_WORDS):
         super().__init__()
         self.model, self.most = model, most
-        self.rows: list[np.ndarray] = []
+        self.rows = np.zeros((1024, len(model.labels) + 1))
 
     def __missing__(self, word: str) -> int:
-        score = self.model.words.get(word)
-        self.rows.append(self.model.unseen(word) if score is None else score)
-        self[word] = at = len(self.rows) - 1
+        at, row = len(self), self.model.words.get(word)
+        if at == len(self.rows):
+            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+        self.rows[at, :-1] = self.model.unseen(word) if row is None else self.model.word_rows[row]
+        self.rows[at, -1] = row is not None
+        self[word] = at
         return at
 
-    def trim(self) -> None:
-        if len(self.rows) > self.most:
-            self.clear()
-            self.rows.clear()
 
-
-_tables: dict[int, _Table] = {}
-
-
-def predict(table: _Table, texts: list[str]) -> tuple[list[str], list[float]]:
-    labels, scores = [], []
+def predict(table: Table, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+    """Labels, their shares of the likelihood, and the shares of words that are known in any language."""
+    labels, scores, known = [], [], []
     for text in texts:
         found = words_of(text)
         if not found or not table.model.labels:
             labels.append("und")
             scores.append(0.0)
+            known.append(0.0)
             continue
-        table.trim()
-        rows = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
-        places, count = np.unique(rows, return_counts=True)
-        likely = count @ np.array([table.rows[r] for r in places.tolist()], np.float64)
+        if len(table) > table.most:
+            table.clear()
+        places = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
+        sums = table.rows[places].sum(0)
+        likely = sums[:-1]
         best = int(likely.argmax())
         labels.append(table.model.labels[best])
         scores.append(float(1 / np.power(10.0, np.maximum(likely - likely[best], -300)).sum()))
-    return labels, scores
+        known.append(float(sums[-1] / len(found)))
+    return labels, scores, known
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS) -> Model:
-    """A model of at most ``rows`` labelled rows, those of least hash: the share that gives about
-    as many is computed from the count of labels, so the same rows come back each time.
-
-    Null labels are left out. Rows that repeat a text are fitted as often as they are taken.
-    Without labelled rows the model has no label and every prediction is ``und``."""
-    known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    total = known.select("lang").count()
-    if total > rows:
-        share = int(rows * 0.97 / total * 2**31)
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(2**31)) < share).limit(rows)
-    return Model([(r["lang"], r["text"] or "") for r in known.toLocalIterator()])
+    """A model of at most ``rows`` different labelled texts, as many of each language, those of least hash.
+
+    Null labels are left out. Rows that repeat a text in one language count once, so copies crowd out
+    nothing, and a rare language is learned from what there is. With more than ``rows`` languages
+    those of most texts are learned. The same rows come back each time, whatever their order. Without
+    labelled rows the model has no label and every prediction is ``und``."""
+    known = labelled.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    known = known.withColumn("h", F.xxhash64("text"))
+    different = known.groupBy("lang", "h").agg(F.lit(1).alias("one")).drop("one")
+    sizes = different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows).collect()  # at most ``rows`` languages
+    if not sizes:
+        return Model([])
+    each = max(1, rows // len(sizes))
+    labels = [r["lang"] for r in sizes]
+    chosen = different.where(F.col("lang").isin(labels)).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= each).select("lang", "h")
+    found = known.join(F.broadcast(chosen), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h")
+    return Model([(r["lang"], r["text"]) for r in found.toLocalIterator()])
+
+
+def predictor(model: Model, spark) -> Callable[[Column], Column]:
+    """Column of texts -> struct of lang_pred, score and known. Only the texts go to Python."""
+    held = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("struct<lang_pred:string,score:double,known:double>")
+    @c.released
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = Table(held.value)
+        for texts in batches:
+            parts = [predict(table, part.cast(pa.large_string()).fill_null("").to_pylist()) for part in c.slices(texts)]
+            made = [pa.array([x for part in parts for x in part[i]], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64()))]
+            yield pa.StructArray.from_arrays(made, ["lang_pred", "score", "known"])
+
+    return predicted
 
 
 def languages(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with lang_pred and score (the label's share of the likelihood, 0 to 1).
+    """``docs`` with lang_pred, score (the label's share of the likelihood, 0 to 1, which nears 1 as a
+    text gets longer) and known (the share of its words that the model has met, which does not).
 
-    Texts that are null or have no letter get ``und`` and 0. Ties go to the label that sorts
+    Texts that are null or have no letter get ``und``, 0 and 0. Ties go to the label that sorts
     first. Rows are independent. Columns with the names of added ones are replaced."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    docs = c.without(docs, ["lang_pred", "score"])
-    keep = [k for k in docs.columns if keep_text or k != text]
-    schema = docs.select(*[F.col(f"`{k}`") for k in keep]).schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        target = to_arrow_schema(schema)
-        table = _tables.get(id(held.value))
-        if table is None:
-            _tables.clear()
-            table = _tables[id(held.value)] = _Table(held.value)
-        for batch in c.shards(batches, text):
-            labels, scores = predict(table, batch.column(text).cast(pa.large_string()).fill_null("").to_pylist())
-            made = [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays([a.cast(t.type) for a, t in zip([*(batch.column(k) for k in keep), *made], target)], schema=target)
-
-    return docs.mapInArrow(run, schema)
+    added = ["lang_pred", "score", "known"]
+    docs = c.without(docs, added)
+    keep = [F.col(f"`{k}`") for k in docs.columns if keep_text or k != text]
+    found = docs.select(*keep, predictor(model, docs.sparkSession)(F.col(f"`{text}`").cast("string")).alias("lang_pred"))
+    return found.select(*[F.col(f"`{k}`") for k in found.columns[:-1]], *[F.col("lang_pred")[x].alias(x) for x in added])
+
+
+def recognised(docs: DataFrame, model: Model, text: str = "text", least: float = 0.1) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, with their columns as they were:
+    texts without a letter go, and those of whose words fewer than the share ``least`` are known."""
+    found = predictor(model, docs.sparkSession)(F.col(f"`{text}`").cast("string"))
+    return docs.where((found["lang_pred"] != "und") & (found["known"] >= least))

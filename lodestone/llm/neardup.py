@@ -122,6 +122,7 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sketches(docs: DataFrame, size: int, counted: bool, bands: int, rows: int) -> DataFrame:
     """(node, text) -> (node, digest of the weighted set, band hashes); null digest without words."""
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.shards(batches, "text"):
             n = batch.num_rows
@@ -142,6 +143,7 @@ def _sketches(docs: DataFrame, size: int, counted: bool, bands: int, rows: int)
 def _sets(docs: DataFrame, size: int, counted: bool) -> DataFrame:
     """(node, text) -> (node, items): hashes of the set; with counts, one item for each repeat."""
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.shards(batches, "text"):
             own, hashes, weights = weighted_sets(batch.column("text"), size, counted)
@@ -157,6 +159,7 @@ def _sets(docs: DataFrame, size: int, counted: bool) -> DataFrame:
 def _counts(sets: DataFrame, cells: int = 128) -> DataFrame:
     """(node, size, counts): how many items fall into each cell of their hash."""
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("items")

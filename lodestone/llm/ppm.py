@@ -87,6 +87,7 @@ def corpus_counts(docs: DataFrame, folder: str, text: str = "text") -> DataFrame
         key, n = _merged(held)
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.uint64).view(np.int64)), pa.array(n.astype(np.int64))], ["kind", "key", "n"])
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list] = [], []
         for batch in c.shards(batches, text):
@@ -313,6 +314,7 @@ def _pass(docs: DataFrame, blocks: list, head, text: str) -> DataFrame:
             pa.ListArray.from_arrays(edges, pa.array(h[at].view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(np.diff(np.append(at, len(r))).astype(np.int32))),
         ]
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -155,6 +155,7 @@ def _bitmap(pieces: DataFrame, n: int):
 def _pieces(texts: DataFrame, size: int) -> DataFrame:
     """(ah, n): the pieces of all segments, counted in each shard."""
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in c.shards(batches, "text"):
             piece, n = np.unique(segments(*c.text_bytes(batch.column("text")), size)[1], return_counts=True)
@@ -195,6 +196,7 @@ def _dealt(texts: DataFrame, size: int, known, buckets: int) -> DataFrame:
     (low, at) that are removed already."""
     schema = "bucket int, route long, k long, th long, low int, at int, raw binary"
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, hot = known.value
         sender = _Sender()
@@ -319,6 +321,7 @@ def repeated_spans(texts: DataFrame, folder: str, size: int = SIZE) -> DataFrame
 def _merged(spans: DataFrame) -> DataFrame:
     """The lists of spans, each as its maximal runs."""
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("spans")
@@ -354,6 +357,7 @@ def remove_repeats(docs: DataFrame, folder: str, key: str = "doc_id", text: str
     joined = keyed.join(own, ["k", "th"], "left").select(F.col("key").alias(key), "text", "spans")
     schema = T.StructType([joined.schema[0], *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_sha256" if digests else "kept", T.StringType() if digests else T.BinaryType())])
 
+    @c.released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -127,6 +128,33 @@ def test_fingerprints(spark, docs):
     assert {r.class_id for r in fingerprint.exact_groups(docs).where("class_size = 3").collect()} == {1}
 
 
+@pytest.mark.parametrize("keys", [[2**62, *range(50)], [-(2**63), 0], [-(2**63), 0, 2**63 - 1], [], [None, None, 3], [5, 5, 5, None], [10**i for i in range(18)]])
+def test_next_texts_of_uneven_keys(spark, monkeypatch, keys):
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 2)
+    monkeypatch.setattr(fingerprint, "BLOCK_BOUNDS", 3)
+    rows = [(k, f"text {i % 7} of {k}") for i, k in enumerate(keys)]
+    got = fingerprint.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    want = [(k, t, order[(i + 1) % len(order)][1]) for i, (k, t) in enumerate(order)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    with pytest.raises(TypeError):
+        fingerprint.with_next(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+def test_canonical_forms_against_unicodedata(spark):
+    rng = random.Random(9)
+    points = [chr(x) for a, b in ((0x20, 0x180), (0x370, 0x400), (0x1E00, 0x2100), (0x3040, 0x3100), (0xAC00, 0xAC40), (0xFB00, 0xFB10), (0xFF00, 0xFFA0)) for x in range(a, b)]
+    points = [x for x in points if unicodedata.category(x) not in ("Cn", "Cs")]
+    texts = ["".join(rng.choice(points + [" ", "\n", "\t"]) for _ in range(rng.randint(0, 12))) for _ in range(400)] + [None, "", " \n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: (r.canonical_text, r.fingerprint) for r in fingerprint.fingerprints(df).collect()}
+    nfkc = lambda x: unicodedata.normalize("NFKC", x)
+    for i, text in enumerate(texts):
+        assert got[i][0] == re.sub(r"\s+", " ", nfkc(nfkc(text or "").casefold())).strip(" "), repr(text)
+    assert len({f for _, f in got.values()}) == len({t for t, _ in got.values()}) and all(len(f) == 32 for _, f in got.values())
+
+
 def test_fingerprint_query_groups_all_documents(spark, tmp_path, monkeypatch):
     from lodestone.llm import queries
 
@@ -235,13 +263,64 @@ def test_repeats_survive_equal_hashes(monkeypatch):
     assert removed() == want
 
 
+def _plain_language(rows, text, longest=5):
+    """Label and share of the likelihood: words by log frequency, others by their n-grams, from the definition."""
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    labels = sorted({lang for lang, _ in rows})
+    words = {x: Counter(w for lang, t in rows if lang == x for w in split(t)) for x in labels}
+    every = set().union(*words.values())
+    known = len(every) + 1
+    grams = {x: Counter() for x in labels}
+    for x in labels:
+        for w in every:
+            marked = f"^{w}$"
+            for size in range(1, longest + 1):
+                for i in range(len(marked) - size + 1):
+                    grams[x][marked[i : i + size]] += math.sqrt(words[x][w])
+    total = {x: max(1, sum(words[x].values())) for x in labels}
+    sums = {x: [1 + sum(k for g, k in grams[x].items() if len(g) == size) for size in range(longest + 1)] for x in labels}
+    seen = lambda table, key: sum(table[x][key] for x in labels) > 1
+    floor = -math.log10(2 * known + max(total.values()))
+
+    def score(x, w):
+        if seen(words, w):
+            return math.log10((words[x][w] + 0.5) / (total[x] + 0.5 * known))
+        marked, out = f"^{w}$", 0.0
+        for i in range(len(marked)):
+            held = next((marked[i : i + k] for k in range(min(longest, len(marked) - i), 0, -1) if seen(grams, marked[i : i + k])), None)
+            out += floor if held is None else math.log10((grams[x][held] + 0.5) / (sums[x][len(held)] + 0.5 * known))
+        return out / len(marked)
+
+    found = split(text)
+    likely = [sum(score(x, w) for w in found) for x in labels]
+    best = max(range(len(labels)), key=lambda i: (likely[i], -i))
+    return labels[best], 1 / sum(10 ** max(-300, y - likely[best]) for y in likely), sum(seen(words, w) for w in found) / len(found)
+
+
 def test_languages(spark, docs):
-    rows = [("en", "the cat and the dog")] * 3 + [("de", "der hund und die katze")] * 3 + [(None, "skip")]
+    rows = [("en", "the cat and the dog")] * 3 + [("en", "and the dogs ran there"), ("de", "der hund und die katze und der rest"), ("de", "die hunde und der kater"), (None, "skip")]
     model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
-    table = langid.Table(model)
-    assert langid.predict(table, ["the dogs", "die hunde", "123", ""])[0] == ["en", "de", "und", "und"]
-    assert langid.languages(docs, model).count() == len(ROWS)
+    asked = ["the dogs", "die hunde", "katzen laufen dort", "x", "there and der hundert straße", "thethethe" * 30]
+    different = sorted({r for r in rows if r[0]})
+    for text, *got in zip(asked, *langid.predict(langid.Table(model), asked)):
+        want = _plain_language(different, text)
+        assert got[0] == want[0] and all(math.isclose(a, b, rel_tol=1e-4, abs_tol=1e-6) for a, b in zip(got[1:], want[1:])), text
+    assert langid.predict(langid.Table(model), ["123", ""])[0] == ["und", "und"]
+    odd = langid.languages(docs.withColumn("known", F.lit("mine")), model)
+    assert odd.count() == len(ROWS) and odd.where("text is null and lang_pred = 'und' and score = 0").count() == 1
     assert langid.predict(langid.Table(langid.Model([])), ["word"])[0] == ["und"]
+    tied = langid.Model([("b", "same same"), ("a", "same same")])
+    assert langid.predict(langid.Table(tied), ["same"])[:2] == (["a"], [0.5])
+    assert langid.recognised(docs, model).columns == docs.columns and langid.recognised(docs.limit(0), model).count() == 0
+
+
+def test_language_fit_is_not_crowded_out(spark):
+    rows = [("de", f"wort{i} haus{i}") for i in range(900)] + [("en", "one text")] * 600 + [("sv", f"ord{i} hus") for i in range(5)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    model = langid.fit(df, rows=60)
+    assert model.labels == ["de", "en", "sv"]
+    again = langid.fit(df.repartition(3), rows=60)
+    assert model.words == again.words and (model.word_rows == again.word_rows).all()
 
 
 def test_toxicity(spark, docs):
@@ -263,3 +342,89 @@ def test_warc_round_trip(spark, folder):
         assert got[i].payload_bytes == len(raw) and got[i].payload_digest == hashlib.sha1(raw).hexdigest()
     only = warc.read_archives(spark, folder, ["record_id", "content_length"]).where("record_id = '<urn:lodestone:page:5>'")
     assert [r.content_length for r in only.collect()] == [5]
+
+
+def test_warc_of_odd_rows(spark, folder):
+    page = "p" * 1200
+    rows = [("a\r\nb", None, page, 1), ("null", "u", page, 2), (None, "u", page, 3), ("", "u", "short", 4), ("% ü+", "u", None, 5), ("null", "u", page, 6)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string, record_type int")
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(df, folder).collect()), key=repr)
+    want = [("a\r\nb", 1200, "revisit", "null"), ("null", 1200, "response", None), (None, 1200, "revisit", "null"), ("", 5, "response", None), ("% ü+", 0, "response", None), ("null", 1200, "response", None)]
+    assert got == sorted(want, key=repr)
+    warc.write_archives(warc.classify(df), folder + "z", compression="gzip")
+    packed = warc.read_archives(spark, folder + "z", ["record_type", "record_id", "payload"])
+    assert packed.count() == len(rows) and {bytes(r.payload) for r in packed.where("record_type = 'response'").collect()} == {page.encode(), b"short", b""}
+    assert packed.where("record_id = '<urn:lodestone:no-page>'").count() == 1
+    assert warc.round_trip(df.limit(0), folder + "e").count() == 0
+
+
+def test_archives_that_are_cut(tmp_path):
+    from pyarrow import fs
+
+    for content in (b"WARC/1.1\r\nWARC-Type: response\r\n\r\nxx\r\n\r\n", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nxx", b"WARC/1.1\r\nContent-", b"HTTP/1.1\r\n\r\n"):
+        (tmp_path / "a").write_bytes(content)
+        with fs.LocalFileSystem().open_input_file(str(tmp_path / "a")) as raw, pytest.raises(ValueError):
+            list(warc.records(raw, "a", {}, True))
+
+
+_PLAIN_PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _plain_spans(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(_PLAIN_PII.items()):
+        for m in re.finditer(pattern, text, re.ASCII):
+            digits = re.sub("[^0-9]", "", m[0])
+            odd = [int(d) for d in digits[-1::-2]] + [sum(divmod(2 * int(d), 10)) for d in digits[-2::-2]]
+            fits = {"email": True, "ip": all(int(x) < 256 for x in m[0].split(".")) if kind == "ip" else False, "card": 14 <= len(digits) <= 19 and sum(odd) % 10 == 0, "phone": 10 <= len(digits) <= 15}
+            if fits[kind]:
+                out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x for *_, x in sorted(out))
+
+
+def test_pii_against_plain_patterns(spark, folder):
+    rng = random.Random(12)
+    parts = ["a@b.cc", "4111 1111 1111 1111", "4111-1111-1111-1112", "1.2.3.4", "999.1.1.1", "+49 (30) 123-45678", "+1 2", "x", "é", " ", "-", ".", "@", "5", "12", "00", "+", "%", "(", "4012888888881881", "a.b+c@d-e.f.g"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("_spans", F.lit("mine"))
+    got = {r.doc_id: r for r in pii.report(pii.base_spans(df), ["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].spans == _plain_spans(text or ""), repr(text)
+    assert pii.report(pii.find(df.limit(0), folder), ["doc_id"]).count() == 0
+
+
+def test_disclosing_terms_against_plain_counts(spark, folder):
+    rng = random.Random(13)
+    names, bag = ["anna", "zorblax", "quux", "li"], ["report", "case", "call", "today", "office", "x1", "über"]
+    rows = []
+    for i in range(160):
+        words = [rng.choice(bag) for _ in range(rng.randint(0, 30))]
+        if i % 2:
+            at = rng.randint(0, len(words))
+            words[at:at] = [rng.choice(names), "me@there.org" if i % 4 == 1 else "10.0.0.1"]
+        rows.append((i, " ".join(words) if i % 17 else None))
+    rows += [rows[1], rows[3]]
+    near, total = {}, Counter()
+    for _, text in rows:
+        text = text or ""
+        total.update(re.findall(r"[^\W\d_]{3,}", text.lower()))
+        for kind, value in (("email", "me@there.org"), ("ip", "10.0.0.1")):
+            for m in re.finditer(re.escape(value), text):
+                sides = [text[: m.start()], text[m.end() :]]
+                left, right = sides[0][-81:], sides[1][:81]
+                left = re.sub(r"^[^\W\d_]+", "", left) if len(left) > 80 else left
+                right = re.sub(r"[^\W\d_]+$", "", right) if len(right) > 80 else right
+                before, after = re.findall(r"[^\W\d_]{3,}", left.lower())[::-1][:6], re.findall(r"[^\W\d_]{3,}", right.lower())[:6]
+                for term in {*before, *after}:
+                    near.setdefault((value, term), []).append((tuple(before), tuple(after)))
+    want = {}
+    for (_, term), places in near.items():
+        if len(set(places)) >= 3:
+            want[term] = max(want.get(term, 0), len(places))
+    want = {t: -math.log2(min(1, n / total[t])) for t, n in want.items()}
+    want = {t: b for t, b in want.items() if b <= 1}
+    terms = pii.disclosing_terms(pii.base_spans(spark.createDataFrame(rows, "doc_id int, text string")), folder)
+    got = {r.term: r.bits for r in terms.collect()} if terms is not None else {}
+    assert want and got.keys() == want.keys() and all(math.isclose(got[t], want[t], abs_tol=1e-12) for t in want)

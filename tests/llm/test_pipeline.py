@@ -2,8 +2,8 @@
 
 import random
 import re
+from collections import Counter
 
-import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -45,12 +45,12 @@ def fixture():
 
 
 def by_language(rows):
-    model = langid.Model([(r[2], r[1] or "") for r in rows if r[2] is not None])
+    labelled = {(r[2], r[1] or "") for r in rows if r[2] is not None}  # copies count once
+    seen = Counter(w for _, text in labelled for w in langid.words_of(text))
     out = []
     for row in rows:
         found = langid.words_of(row[1] or "")
-        likely = sum((np.float64(model.words[w] if w in model.words else model.unseen(w)) for w in found), np.zeros(len(model.labels)))
-        if found and 1 / (10.0 ** np.maximum(likely - likely.max(), -300)).sum() >= corpus_pipeline.LANGUAGE_SHARE:
+        if found and sum(seen[w] > 1 for w in found) >= corpus_pipeline.KNOWN_SHARE * len(found):
             out.append(row)
     return out
 
