@@ -12,15 +12,14 @@ from pyspark.sql import functions as F
 import lodestone
 from lodestone.llm import bpe, common, decontaminate, langid, neardup, pii
 
-#: A document is kept if its language has so large a share of the likelihood.
-LANGUAGE_SHARE = 0.5
+#: A document is kept if so large a share of its words is known in some language.
+KNOWN_SHARE = 0.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a recognised language; texts without a letter go."""
-    model = langid.fit(docs)
-    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("text"))
-    return langid.languages(rows, model, keep_text=False).where((F.col("lang_pred") != "und") & (F.col("score") >= LANGUAGE_SHARE)).select("_row.*")
+    """Keeps documents in a recognised language: texts without a letter go, and those of whose words
+    fewer than a tenth are known in any language of the labels, whatever their length."""
+    return langid.recognised(docs, langid.fit(docs), least=KNOWN_SHARE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
