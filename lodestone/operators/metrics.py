@@ -1,4 +1,4 @@
-"""Counts to rates, agreement, micro and macro means, null-aware sums, seeded bootstrap."""
+"""Counts to rates, agreement, micro and macro means, null-aware sums."""
 
 from __future__ import annotations
 
@@ -47,16 +47,3 @@ def multiset_agreement(left: DataFrame, right: DataFrame, by: list[str], item: s
     both = a.join(b, [*by, item], "full_outer").fillna(0, ["a", "b"])
     sums = both.groupBy(*by).agg(F.sum(F.least("a", "b")).alias("shared"), F.sum("a").alias("n_left"), F.sum("b").alias("n_right"))
     return sums.withColumn("agreement", rate(F.col("shared"), F.greatest("n_left", "n_right")))
-
-
-def bootstrap_mean(df: DataFrame, by: list[str], value: str, samples: int = 500, seed: int = 0, level: float = 0.95) -> DataFrame:
-    """Mean and percentile interval of each group. Each resample weights every row by a Poisson(1)
-    draw from its hash, so groups of any size are aggregated in parallel and nothing is gathered."""
-    known = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"), F.xxhash64(*df.columns, F.lit(seed)).alias("_h"))
-    drawn = known.withColumn("_s", F.explode(F.sequence(F.lit(1), F.lit(samples))))
-    unit = (F.pmod(F.xxhash64("_h", "_s"), F.lit(2**31)) + 0.5) / 2**31
-    weight = sum(((unit > p).cast("int") for p in (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582)), F.lit(0))
-    means = drawn.withColumn("_w", weight).groupBy(*by, "_s").agg(F.sum(F.col("_w") * F.col("_v")).alias("_wv"), F.sum("_w").alias("_w")).withColumn("_m", rate(F.col("_wv"), F.col("_w")))
-    tail = (1 - level) / 2
-    spread = means.groupBy(*by).agg(F.percentile("_m", tail).alias("low"), F.percentile("_m", 1 - tail).alias("high"))
-    return known.groupBy(*by).agg(F.avg("_v").alias("mean"), F.count("*").alias("n")).join(spread, by)

@@ -44,24 +44,6 @@ def islands(df: DataFrame, by: list[str], order: list[str], value: str) -> DataF
     return df.withColumn("_new", (~F.col(value).eqNullSafe(F.lag(value).over(w)) | (F.row_number().over(w) == 1)).cast("int")).withColumn("island", F.sum("_new").over(w)).drop("_new")
 
 
-def sessions(events: DataFrame, by: list[str], at: str, tie: str, gap_seconds: int) -> DataFrame:
-    """Adds ``session``: a new one after a gap of more than ``gap_seconds``."""
-    w = Window.partitionBy(*by).orderBy(at, tie)
-    seconds = F.unix_micros(F.col(at).cast("timestamp")) / 1e6
-    late = F.coalesce((seconds - F.lag(seconds).over(w) > gap_seconds).cast("int"), F.lit(0))
-    return events.withColumn("_late", late).withColumn("session", F.sum("_late").over(w)).drop("_late")
-
-
-def fold_log(events: DataFrame, key: str, at: list[str], kind: str, value: str, reset: str, undo: str) -> DataFrame:
-    """Current value of each key: its last live event after its last reset; an undo withdraws the
-    event before it. Aggregates and one window by key; no state is gathered elsewhere."""
-    w = Window.partitionBy(key).orderBy(*at)
-    marked = events.withColumn("_undone", F.coalesce(F.lead(kind).over(w) == undo, F.lit(False))).withColumn("_resets", F.sum((F.col(kind) == reset).cast("int")).over(w))
-    last = marked.groupBy(key).agg(F.max("_resets").alias("_last"))
-    live = marked.join(last, key).where((F.col("_resets") == F.col("_last")) & ~F.col(kind).isin(reset, undo) & ~F.col("_undone"))
-    return live.groupBy(key).agg(F.max_by(value, F.struct(*at)).alias("current"), F.count("*").alias("n_live"))
-
-
 def pack(df: DataFrame, by: list[str], order: list[str], size: str, budget: int) -> DataFrame:
     """Adds ``window``: greedy packing in order, a new window when the budget would be passed; an
     oversized row is alone. One fold over the sizes of a group, in SQL functions."""

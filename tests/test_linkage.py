@@ -1,9 +1,10 @@
 import itertools
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from lodestone.operators import linkage, metrics, records
+from lodestone.operators import comparison, linkage, records
 from lodestone.plans import registry
 
 
@@ -78,15 +79,59 @@ def test_pack_and_upsert(spark):
     assert sorted(map(tuple, records.upsert(old, new, ["k"]).collect())) == [(1, "a"), (2, "b"), (3, "c")]
 
 
-def test_bootstrap_interval_holds_mean(spark):
-    df = spark.range(2000).select(F.lit("g").alias("g"), (F.col("id") % 10).alias("v"), "id")
-    row = metrics.bootstrap_mean(df, ["g"], "v", samples=80, seed=1).first()
-    assert row["n"] == 2000 and row["low"] < 4.5 < row["high"] and row["high"] - row["low"] < 0.5
+def test_intervals(spark):
+    rows = [("a", float(x)) for x in range(40)] + [("b", 3.0), ("c", None), ("a", None)]
+    got = {r.g: r for r in comparison.bootstrap(spark.createDataFrame(rows, "g string, v double").repartition(3), ["g"], "v", samples=400, seed=1).collect()}
+    a = got["a"]
+    assert (a.n, a.mean, a.status) == (40, 19.5, "available") and a.low < 19.5 < a.high and 4 < a.high - a.low < 12
+    assert (got["b"].mean, got["b"].low, got["b"].status) == (3.0, None, "insufficient_papers") and got["c"].status == "no_values"
+    assert comparison.interval(np.array([1.0, 2.0]), 0, 1)[3] == "disabled"
+    draws = comparison.interval(np.array([0.0, 1.0]), 2000, 5)
+    assert draws[1:3] == (0.0, 1.0)
 
 
-def test_bootstrap_query_draws_as_often_as_the_reference(spark, monkeypatch):
+def test_bootstrap_query_draws_as_often_as_the_default(spark, monkeypatch):
     drawn = []
-    plain = metrics.bootstrap_mean
-    monkeypatch.setattr(metrics, "bootstrap_mean", lambda *a, **k: drawn.append(k["samples"]) or plain(*a, **k))
-    rows = registry.QUERIES["a03_bootstrap_interval"](spark, "/root/testdata/sf0.001").collect()
-    assert drawn == [2000] and len(rows) == 5 and all(r.low < r["mean"] < r.high for r in rows)
+    plain = comparison.bootstrap
+    monkeypatch.setattr(comparison, "bootstrap", lambda *a, **k: drawn.append(k["samples"]) or plain(*a, **k))
+    registry.QUERIES["a03_bootstrap_interval"](spark, "/root/testdata/sf0.001")
+    assert drawn == [2000]
+
+
+def test_alignment_against_all_alignments():
+    for n, m in itertools.product(range(5), repeat=2):
+        for a in itertools.product("AB", repeat=n):
+            for b in itertools.product("AB", repeat=m):
+                best = next(x for k in range(min(n, m), -1, -1) if (x := [frozenset(zip(i, j)) for i in itertools.combinations(range(n), k) for j in itertools.combinations(range(m), k) if all(a[p] == b[q] for p, q in zip(i, j))]))
+                forced, every = frozenset.intersection(*best), frozenset.union(*best)
+                assert linkage.alignment(list(a), list(b)) == (sorted(forced), sorted(every - forced))
+
+
+def test_ambiguous_assignments_against_all_assignments():
+    rng = random.Random(1794)
+    for _ in range(300):
+        n, m = rng.randint(1, 4), rng.randint(1, 4)
+        scores = np.array([[rng.randrange(6) / 4 for _ in range(m)] for _ in range(n)])
+        weight = {p: sum(scores[i, j] for i, j in enumerate(p[:n]) if j < m) for p in itertools.permutations(range(max(n, m)))}
+        best = [p for p, w in weight.items() if abs(w - max(weight.values())) < 1e-9]
+        chosen, loose = linkage.assign_unambiguously(scores)
+        assert abs(sum(scores[i, j] for i, j in enumerate(chosen) if j >= 0) - max(weight.values())) < 1e-9
+        assert all(loose[i] == any(p[i] != j for p in best) for i, j in enumerate(chosen) if j >= 0)
+
+
+def test_partners_against_all_pairings():
+    rng = random.Random(3)
+    for _ in range(300):
+        n, m = rng.randint(0, 4), rng.randint(0, 5)
+        edges = [[j for j in range(m) if rng.random() < 0.4] for _ in range(n)]
+        assert linkage.every_left_has_a_partner(edges) == any(all(j in edges[i] for i, j in enumerate(p)) for p in itertools.permutations(range(m), n))
+
+
+def test_aligned_items(spark):
+    steps = [(1, 1, "clean"), (1, 2, "coat"), (1, 3, "coat"), (2, 5, "clean"), (2, 7, "coat"), (3, None, "coat"), (4, 1, "a"), (4, 1, "b")]
+    items = linkage.ordered_items(spark.createDataFrame(steps, "k int, p int, x string"), ["k"], "p", F.col("x"))
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4)], "l int, r int")
+    got = linkage.align_items(pairs, items.withColumnRenamed("k", "l"), items.withColumnRenamed("k", "r"), "l", "r").collect()
+    assert {(r.l, r.r, r.left, r.right, r.forced) for r in got} == {(1, 2, 0, 0, True), (1, 2, 1, 1, False), (1, 2, 2, 1, False)}
+    stacks = spark.createDataFrame([(["a", "b"], ["a", "c"], "v", " v"), (["a"], None, None, None), ([], [], "", "")], "a array<string>, b array<string>, x string, y string")
+    assert [r[0] for r in stacks.select(linkage.stack_similarity("a", "b", F.col("x"), F.col("y"))).collect()] == [3 / 5, None, 0.0]
