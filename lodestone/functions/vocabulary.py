@@ -128,9 +128,18 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _quoted(values) -> str:
+    return ", ".join("'" + x.replace("'", "\\'") + "'" for x in values)
+
+
 def lookup(table: dict[str, str], key: Column) -> Column:
     """The table's entry for the key, null if it has none."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+    return F.try_element_at(F.expr(f"map({_quoted(x for pair in table.items() for x in pair)})"), key)
+
+
+def one_of(value: Column, words) -> Column:
+    """Whether the value is one of the words; null for null."""
+    return F.array_contains(F.expr(f"array({_quoted(words)})"), value)
 
 
 def _key(text: Column) -> Column:
@@ -159,7 +168,7 @@ def property_name(name: Column) -> Column:
 
     def read(own: Column) -> Column:
         full, short = concept(F.regexp_extract(own, pair, 1)), concept(F.regexp_extract(own, pair, 2))
-        return F.when(own.rlike(pair), let(full, lambda x: F.when((x == short) & x.isin(*METRICS), x).otherwise(concept(own)))).otherwise(concept(own))
+        return F.when(own.rlike(pair), let(full, lambda x: F.when((x == short) & one_of(x, METRICS), x).otherwise(concept(own)))).otherwise(concept(own))
 
     return let(tx.scientific_text(name), read)
 
@@ -186,17 +195,17 @@ def _function_roles() -> list[str]:
 def material_stage(role: Column) -> Column:
     """recipe for precursors, finished for functions in the device, else unspecified."""
     own = material_role(role)
-    return F.when(own.isin(*RECIPE_ROLES), "recipe").when(own.isin(*_function_roles()), "finished").otherwise("unspecified")
+    return F.when(one_of(own, RECIPE_ROLES), "recipe").when(one_of(own, _function_roles()), "finished").otherwise("unspecified")
 
 
 def whole_material_role(role: Column) -> Column:
     """No role, or a function that a whole layer has."""
-    return F.coalesce(role.isNull() | material_role(role).isin(*_function_roles()), F.lit(False))
+    return F.coalesce(role.isNull() | one_of(material_role(role), _function_roles()), F.lit(False))
 
 
 def _checked(text: Column) -> Column:
     """The symbol of a known material: itself, or of its full name in any case; else null."""
-    return F.when(text.isin(*SYMBOLS), text).otherwise(lookup(MATERIALS, tx.casefold(text)))
+    return F.when(one_of(text, SYMBOLS), text).otherwise(lookup(MATERIALS, tx.casefold(text)))
 
 
 def material_name(value: Column) -> Column:
@@ -222,7 +231,7 @@ def material_name(value: Column) -> Column:
 
 
 def known_material(value: Column) -> Column:
-    return material_name(value).isin(*SYMBOLS)
+    return one_of(material_name(value), SYMBOLS)
 
 
 def treatment_name(name: Column) -> Column:
@@ -231,7 +240,7 @@ def treatment_name(name: Column) -> Column:
     def scoped(words: Column) -> Column:
         def cut(i: Column) -> Column:
             condition = lookup(TREATMENTS, property_name(F.array_join(F.slice(words, i + 1, F.size(words) - i), " ")))
-            return F.when(condition.isNotNull(), let(material_name(F.array_join(F.slice(words, F.lit(1), i), " ")), lambda m: F.when(m.isin(*SYMBOLS), F.concat(condition, F.lit("@"), m))))
+            return F.when(condition.isNotNull(), let(material_name(F.array_join(F.slice(words, F.lit(1), i), " ")), lambda m: F.when(one_of(m, SYMBOLS), F.concat(condition, F.lit("@"), m))))
 
         return F.when(F.size(words) > 1, F.get(F.filter(F.transform(F.sequence(F.lit(1), F.size(words) - 1), cut), lambda x: x.isNotNull()), F.lit(0)))
 
@@ -268,7 +277,7 @@ def fact_subfield(group: Column, name: Column, path: Column, stage: Column, lite
     measured = (
         F.when(name.isin("sample_size", "errorbarstatistic"), "statistical_metadata")
         .when(protocol_name(name).isNotNull() | path.contains("/measurement_conditions/"), "measurement_protocol")
-        .when(name.isin(*METRICS), "photovoltaic_metrics").when(name == "efficiencyretention", "relative_performance")
+        .when(one_of(name, METRICS), "photovoltaic_metrics").when(name == "efficiencyretention", "relative_performance")
         .when(literal.rlike(_NUMERIC_CUE), "unparsed_measurement_claims").when(literal.isNotNull(), "qualitative_observations").otherwise("other_measurement_fields")
     )
     processed = F.when(name == "operation", "processing_operations").when(name.isin("material", "treated_material"), "processing_materials").otherwise("processing_conditions")

@@ -237,6 +237,35 @@ def _stability_facts(studies: DataFrame) -> list[DataFrame]:
     return out
 
 
+def _united(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def family_facts(studies: DataFrame) -> DataFrame:
+    """Facts of designs: stack, layers, absorbers, constituents and processing steps."""
+    return _united(_family_facts(studies))
+
+
+def device_facts(studies: DataFrame) -> DataFrame:
+    """Facts of specimens: how each was prepared."""
+    return _united(_device_facts(studies))
+
+
+def performance_facts(studies: DataFrame) -> DataFrame:
+    """Facts of observations: metrics and conditions, in the context of the specimen."""
+    return _united(_performance_facts(studies))
+
+
+def population_facts(studies: DataFrame) -> DataFrame:
+    """Facts of cohorts: sizes, statistics and conditions."""
+    return _united(_population_facts(studies))
+
+
+def stability_facts(studies: DataFrame) -> DataFrame:
+    """Facts of tests: conditions, times and outcomes of checkpoints."""
+    return _united(_stability_facts(studies))
+
+
 def facts(studies: DataFrame) -> DataFrame:
     """The facts of studies (paper_id, side, study, ids), each read as a claim, with the space and name of its
     concept, the field and the domain in which it counts. Null collections are empty."""

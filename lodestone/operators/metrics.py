@@ -42,8 +42,7 @@ def agreement(left: DataFrame, right: DataFrame, key: list[str], value: str) ->
 
 def multiset_agreement(left: DataFrame, right: DataFrame, by: list[str], item: str) -> DataFrame:
     """Size of the multiset intersection over the larger size, for each group."""
-    a = left.groupBy(*by, item).agg(F.count("*").alias("a"))
-    b = right.groupBy(*by, item).agg(F.count("*").alias("b"))
-    both = a.join(b, [*by, item], "full_outer").fillna(0, ["a", "b"])
+    rows = left.select(*by, item, F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(right.select(*by, item, F.lit(0), F.lit(1)))
+    both = rows.groupBy(*by, item).agg(F.sum("_a").alias("a"), F.sum("_b").alias("b"))
     sums = both.groupBy(*by).agg(F.sum(F.least("a", "b")).alias("shared"), F.sum("a").alias("n_left"), F.sum("b").alias("n_right"))
     return sums.withColumn("agreement", rate(F.col("shared"), F.greatest("n_left", "n_right")))

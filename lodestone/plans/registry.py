@@ -110,11 +110,6 @@ def _(t):
     return items.select("event_id", F.col("key").alias("path"), "value")
 
 
-@query("p08_stack_components", "SELECT p_partkey, 'brand' AS role, p_brand AS name FROM part UNION ALL SELECT p_partkey, 'type', p_type FROM part")
-def _(t):
-    return t("part").selectExpr("p_partkey", "stack(2, 'brand', p_brand, 'type', p_type) as (role, name)")
-
-
 @query("p28_unique_metric_pivot", "SELECT l_orderkey, CASE WHEN count(*) FILTER (l_returnflag = 'R') = 1 THEN max(l_quantity) FILTER (l_returnflag = 'R') END AS r_quantity, CASE WHEN count(*) FILTER (l_returnflag = 'N') = 1 THEN max(l_quantity) FILTER (l_returnflag = 'N') END AS n_quantity, count(*) AS n_candidates FROM lineitem GROUP BY 1")
 def _(t):
     def only(flag: str):
@@ -123,13 +118,6 @@ def _(t):
     return t("lineitem").groupBy("l_orderkey").agg(only("R").alias("r_quantity"), only("N").alias("n_quantity"), F.count("*").alias("n_candidates"))
 
 
-@query("p14_nested_outcomes", "SELECT o_orderkey, len(list(l_linenumber))::BIGINT AS n_outcomes, sum(l_quantity) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderpriority LIKE '1%' GROUP BY 1")
-def _(t):
-    nested = t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("checkpoints"))
-    rows = t("orders").where("o_orderpriority like '1%'").join(nested, "o_orderkey").select("o_orderkey", F.explode("checkpoints").alias("c"))
-    return rows.groupBy("o_orderkey").agg(F.count("*").alias("n_outcomes"), F.sum("c.l_quantity").alias("total"))
-
-
 @query("p04_outcome_context", "SELECT l_orderkey, l_linenumber, o_orderpriority, c_mktsegment, n_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey WHERE l_quantity >= 45")
 def _(t):
     rows = t("lineitem").where("l_quantity >= 45").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -164,20 +152,7 @@ def _(t):
 
 @query("j27_paired_means", "WITH p AS (SELECT l_orderkey, avg(l_extendedprice) FILTER (l_returnflag = 'R') AS c, avg(l_extendedprice) FILTER (l_returnflag = 'A') AS x FROM lineitem GROUP BY 1) SELECT count(*) AS n_pairs, avg(x - c) AS mean_delta FROM p WHERE c IS NOT NULL AND x IS NOT NULL")
 def _(t):
-    runs = t("lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.avg("l_extendedprice").alias("v"))
-    return linkage.paired_arms(runs, ["l_orderkey"], "l_returnflag", "v", "R", "A").agg(F.count("*").alias("n_pairs"), F.avg("delta").alias("mean_delta"))
-
-
-@query("j28_cohort_differences", "SELECT c_custkey AS custkey, 'missing' AS issue FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'extra' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
-def _(t):
-    expected, actual = t("customer").select(F.col("c_custkey").alias("custkey")), t("orders").select(F.col("o_custkey").alias("custkey")).distinct()
-    return expected.join(actual, "custkey", "left_anti").withColumn("issue", F.lit("missing")).union(actual.join(expected, "custkey", "left_anti").withColumn("issue", F.lit("extra")))
-
-
-@query("j29_settings_of_first_run", "WITH f AS (SELECT o_orderkey, o_orderpriority = first_value(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS same FROM orders) SELECT count(*) FILTER (NOT same) AS n_different, count(*) AS n FROM f")
-def _(t):
-    first = t("orders").groupBy("o_custkey").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first"))
-    return t("orders").join(first, "o_custkey").agg(F.count_if(F.col("o_orderpriority") != F.col("first")).alias("n_different"), F.count("*").alias("n"))
+    return linkage.paired_arms(t("lineitem"), ["l_orderkey"], "l_returnflag", "l_extendedprice", "R", "A").agg(F.count("*").alias("n_pairs"), F.avg("delta").alias("mean_delta"))
 
 
 @query("j31_panel_agreement", "WITH a AS (SELECT doc_id, quality FROM labels), b AS (SELECT doc_id, toxic FROM labels WHERE doc_id % 3 <> 0) SELECT a.quality AS truth, b.toxic AS predicted, count(*) FILTER (a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL) AS matched, count(*) FILTER (b.doc_id IS NULL) AS missed, count(*) FILTER (a.doc_id IS NULL) AS extra FROM a FULL JOIN b ON a.doc_id = b.doc_id GROUP BY 1, 2")
@@ -255,12 +230,6 @@ def _(t):
     return usage.groupBy("event_type").agg(*metrics.known_sum("cost", "cost"))
 
 
-@query("a13_call_summary", "SELECT user_id, count(*) AS calls, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'view') AS cached, sum(value) AS total FROM events GROUP BY 1")
-def _(t):
-    kind = F.col("event_type")
-    return t("events").groupBy("user_id").agg(F.count("*").alias("calls"), F.count_if(kind == "error").alias("failed"), F.count_if(kind == "view").alias("cached"), F.sum("value").alias("total"))
-
-
 @query("a18_verdict_pivot", "SELECT c_mktsegment, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o, count(*) FILTER (o_orderstatus = 'P') AS p FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def _(t):
     pivoted = t("orders").join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment").pivot("o_orderstatus", ["F", "O", "P"]).count()

@@ -10,7 +10,7 @@ from lodestone.functions import quantities as qt
 from lodestone.functions import text as tx
 from lodestone.functions import units as un
 from lodestone.functions import vocabulary as vo
-from lodestone.operators import claims, comparison, constraints, ingest, linkage, nested, passages, projections, repair
+from lodestone.operators import claims, comparison, constraints, facts, ingest, linkage, nested, passages, projections, repair
 from lodestone.plans.registry import long, query
 
 
@@ -632,3 +632,47 @@ def _(t):
     attempts = t("orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice")).alias("price"), F.when(F.col("o_orderstatus") == "F", "no").alias("error"))
     out = ingest.first_success(attempts, ["o_custkey"], "o_orderkey", "price", "error")
     return out.select("o_custkey", "price", long(F.size("failures")).alias("n_failures"))
+
+
+# ------------------------------------------------------------------ facts of nested studies
+_SQL_LINES = "WITH x AS (SELECT l_orderkey AS paper_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS j, l_linenumber % 3 AS k, l_quantity FROM lineitem)"
+
+
+def _studies(t, collection: str, entry, wrap):
+    """A study for each order, as JSON: ``wrap`` of the list of its lines' entries."""
+    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")))
+    lists = t("lineitem").groupBy(F.col("l_orderkey").alias("paper_id")).agg(F.transform(rows, entry).alias("e"))
+    made = lists.select("paper_id", F.lit("truth").alias("side"), F.to_json(F.struct(F.array(wrap(F.col("e"))).alias(collection))).alias("document"))
+    return facts.read_studies(made).withColumn("ids", F.create_map().cast("map<string,string>"))
+
+
+def _value(name: F.Column, number: F.Column, unit: str) -> F.Column:
+    return F.struct(name.alias("name"), F.concat_ws(" ", number.cast("string"), F.lit(unit)).alias("raw_value"), number.alias("value_number"), F.lit(unit).alias("unit"))
+
+
+@query("p11_performance_facts", _SQL_LINES + " SELECT paper_id, '/performance_observations/0/metrics/' || j AS path, ['pce', 'voc', 'scanrate'][(k + 1)::INT] AS name, l_quantity AS number, k < 2 AS has_method FROM x")
+def _(t):
+    entry = lambda x: _value(F.get(F.array(F.lit("Power conversion efficiency"), F.lit("Voc"), F.lit("JV scan rate")), x["l_linenumber"] % 3), x["l_quantity"], "%")
+    rows = facts.performance_facts(_studies(t, "performance_observations", entry, lambda e: F.struct(F.lit("o").alias("observation_id"), F.lit("jv_scan").alias("measurement_type"), e.alias("metrics"))))
+    return rows.select("paper_id", "path", "name", F.col("value.value_number").alias("number"), ((F.size("protocol") > 0) | (F.col("name") != "scanrate")).alias("has_method"))
+
+
+@query("p14_stability_facts", _SQL_LINES + " SELECT paper_id, '/stability_tests/0/checkpoints/' || j || '/time' AS path, 'time' AS name, l_quantity AS number FROM x UNION ALL SELECT paper_id, '/stability_tests/0/checkpoints/' || j || '/outcomes/0', 'efficiencyretention', l_quantity FROM x")
+def _(t):
+    entry = lambda x: F.struct(F.lit("c").alias("checkpoint_id"), _value(F.lit("time"), x["l_quantity"], "h").alias("time"), F.array(_value(F.lit("PCE retention"), x["l_quantity"], "%")).alias("outcomes"))
+    rows = facts.stability_facts(_studies(t, "stability_tests", entry, lambda e: F.struct(F.lit("s").alias("test_id"), e.alias("checkpoints"))))
+    return rows.select("paper_id", "path", "name", F.col("value.value_number").alias("number"))
+
+
+@query("p10_device_facts", _SQL_LINES + " SELECT paper_id, '/individual_devices/0/reported_properties/' || j AS path, ['treatment:duration', 'activearea', 'treatment:temperature'][(k + 1)::INT] AS name FROM x")
+def _(t):
+    entry = lambda x: _value(F.get(F.array(F.lit("annealing time"), F.lit("Active area"), F.lit("annealing temperature")), x["l_linenumber"] % 3), x["l_quantity"], "s")
+    rows = facts.device_facts(_studies(t, "individual_devices", entry, lambda e: F.struct(F.lit("d").alias("device_id"), e.alias("reported_properties"))))
+    return rows.select("paper_id", "path", "name")
+
+
+@query("p09_family_facts", _SQL_LINES + " SELECT paper_id, '/device_families/0/layers/' || j || '/material' AS path, 'material' AS name, ['Au', 'Ag', 'odd stuff'][(k + 1)::INT] AS text FROM x UNION ALL SELECT paper_id, '/device_families/0/layers/' || j || '/role', 'role', 'absorber' FROM x UNION ALL SELECT DISTINCT paper_id, '/device_families/0/polarity', 'polarity', 'n-i-p' FROM x")
+def _(t):
+    entry = lambda x: F.struct(F.lit("l").alias("layer_id"), F.lit("absorber").alias("role"), F.get(F.array(F.lit("Gold"), F.lit("Ag layer"), F.lit("odd stuff")), x["l_linenumber"] % 3).alias("material"))
+    rows = facts.family_facts(_studies(t, "device_families", entry, lambda e: F.struct(F.lit("f").alias("family_id"), F.lit("n-i-p").alias("polarity"), e.alias("layers"))))
+    return rows.select("paper_id", "path", "name", "text")
