@@ -94,9 +94,9 @@ def _(t):
     return repair.choose(lines.agg(quality("A")), lines.agg(quality("N")), ["l_orderkey"])
 
 
-@query("f32_scoped_patch", "WITH p AS (SELECT l_orderkey AS paper_id, l_returnflag AS kind, l_linenumber::VARCHAR AS record_id FROM lineitem WHERE l_linenumber <= 3), w AS (SELECT DISTINCT o_orderkey AS paper_id, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'N' ELSE 'A' END AS kind, o_custkey % 2 = 0 AS unclaimed FROM orders), r AS (SELECT paper_id, kind, '1' AS record_id FROM w) SELECT 'kind is no work' AS issue, count(*) AS n FROM p ANTI JOIN w USING (paper_id, kind) UNION ALL SELECT 'removal not asked for', count(*) FROM r ANTI JOIN (SELECT paper_id, kind FROM w WHERE unclaimed) USING (paper_id, kind) UNION ALL SELECT 'proposed and removed', count(DISTINCT (paper_id, kind, record_id)) FROM p JOIN r USING (paper_id, kind, record_id) UNION ALL SELECT 'repeated id', count(*) FROM (SELECT 1 FROM p GROUP BY paper_id, kind, record_id HAVING count(*) > 1) HAVING count(*) > 0")
+@query("f32_scoped_patch", "WITH p AS (SELECT l_orderkey AS paper_id, l_returnflag AS kind, l_linenumber::VARCHAR AS record_id FROM lineitem), w AS (SELECT DISTINCT o_orderkey AS paper_id, CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'N' ELSE 'A' END AS kind, o_custkey % 2 = 0 AS unclaimed FROM orders), r AS (SELECT paper_id, kind, '1' AS record_id FROM w) SELECT 'kind is no work' AS issue, count(*) AS n FROM p ANTI JOIN w USING (paper_id, kind) UNION ALL SELECT 'removal not asked for', count(*) FROM r ANTI JOIN (SELECT paper_id, kind FROM w WHERE unclaimed) USING (paper_id, kind) UNION ALL SELECT 'proposed and removed', count(DISTINCT (paper_id, kind, record_id)) FROM p JOIN r USING (paper_id, kind, record_id) UNION ALL SELECT 'repeated id', count(*) FROM (SELECT 1 FROM p GROUP BY paper_id, kind, record_id HAVING count(*) > 1) HAVING count(*) > 0")
 def _(t):
-    proposed = t("lineitem").where("l_linenumber <= 3").select(F.col("l_orderkey").alias("paper_id"), F.col("l_returnflag").alias("kind"), F.col("l_linenumber").cast("string").alias("record_id"))
+    proposed = t("lineitem").select(F.col("l_orderkey").alias("paper_id"), F.col("l_returnflag").alias("kind"), F.col("l_linenumber").cast("string").alias("record_id"))
     kind = F.when(F.col("o_orderstatus") == "F", "R").when(F.col("o_orderstatus") == "O", "N").otherwise("A")
     work = t("orders").select(F.col("o_orderkey").alias("paper_id"), kind.alias("kind"), F.when(F.col("o_custkey") % 2 == 0, "unclaimed_record").otherwise("claim_unmatched").alias("reason"), F.array(F.lit("1")).alias("record_ids"))
     found = repair.scope_issues(proposed, work.select("paper_id", "kind", F.lit("1").alias("record_id")), work)

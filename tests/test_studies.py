@@ -1,6 +1,7 @@
 """Facts, grounding, passages, claims, sources: small fixtures with hand-derived results."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,14 @@ def test_grounding(spark):
     assert [r[0] for r in df.select(gr.shares_unit(df.v, df.u, df.q, df.c)).collect()] == [True, False]
 
 
+def test_folding_with_and_without_places():
+    rng = random.Random(1)
+    points = [chr(x) for x in (*range(0x20, 0x250), *range(0x2010, 0x2060), 0x2212, 0xFF0D, 0xFE63, 0x1E9E, 0xFB01, 0x2126, 0x3C2)]
+    for _ in range(300):
+        text = "".join(rng.choice(points) for _ in range(30))
+        assert gr.folded_text(text) == gr._compact(text)[0]
+
+
 def test_passages():
     text = "First sentence here. " * 60 + "x" * 3000 + " End. And 5."
     parts = passages.passages_of(text, "text")
