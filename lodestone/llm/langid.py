@@ -127,8 +127,12 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int =
     if not sizes:
         return Model([])
     each = max(1, rows // len(sizes))
-    labels = [r["lang"] for r in sizes]
-    chosen = different.where(F.col("lang").isin(labels)).withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= each).select("lang", "h")
+    # of uniform hashes the least ``each`` lie below a share that leaves few others for the ranking
+    bounds = [(r["lang"], int(min(1.0, (each + 6 * each**0.5 + 10) / r["count"]) * 2**31)) for r in sizes]
+    shares = labelled.sparkSession.createDataFrame(bounds, "lang string, below long")
+    place = F.pmod("h", F.lit(2**31))
+    few = different.join(F.broadcast(shares), "lang").where(place < F.col("below"))
+    chosen = few.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(place, "h"))).where(F.col("n") <= each).select("lang", "h")
     found = known.join(F.broadcast(chosen), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).orderBy("lang", "h")
     return Model([(r["lang"], r["text"]) for r in found.toLocalIterator()])
 
