@@ -240,9 +240,9 @@ def read_archives(spark: SparkSession, path: str, columns: list[str] | None = No
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:
     """Archives ``pages`` and reads them back: page_id, payload_bytes, payload_digest, record_type
     and refers_to. Of responses, size and digest are computed from the payload read; of revisits
-    they come from the headers, and the payloads are skipped. Null keys come back null; keys that
+    they come from the headers, and the payloads are skipped. The archives are gzip files. Null keys come back null; keys that
     repeat come back as often; an empty table gives no rows; other columns are left out."""
-    write_archives(classify(pages), folder)
+    write_archives(classify(pages), folder, compression="gzip")
     spark = pages.sparkSession
 
     full = read_archives(spark, folder, ["record_type", "record_id", "payload"]).where("record_type = 'response'")
