@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import tempfile
@@ -24,5 +25,6 @@ def ship(spark) -> None:
     handle, name = tempfile.mkstemp(prefix="lodestone-", suffix=".zip")
     with os.fdopen(handle, "wb") as out:
         out.write(held.getvalue())
+    atexit.register(Path(name).unlink, missing_ok=True)  # the driver serves it to executors until then
     spark.sparkContext.addPyFile(name)
     _shipped.add(app)
