@@ -134,7 +134,8 @@ def disclosing_terms(spans: DataFrame, folder: str, contexts: int = CONTEXTS, bi
     if likely.isEmpty():
         return None
     tokens = spans.select(F.explode_outer(F.regexp_extract_all(F.lower("_t"), F.lit(_TERM), F.lit(0))).alias("term"))
-    total = tokens.join(likely.select("term"), "term", "left_semi").groupBy("term").agg(F.count("*").alias("total"))
+    # counted before the join: which words are likely is no matter of the corpus's size then
+    total = tokens.groupBy("term").agg(F.count("*").alias("total"))
     terms = likely.join(total, "term").select("term", (-F.log2(F.least(F.col("n") / F.col("total"), F.lit(1.0)))).alias("bits")).where(F.col("bits") <= bits)
     terms = c.materialise(terms, folder, "terms")
     return None if terms.isEmpty() else terms
