@@ -428,3 +428,45 @@ def test_disclosing_terms_against_plain_counts(spark, folder):
     terms = pii.disclosing_terms(pii.base_spans(spark.createDataFrame(rows, "doc_id int, text string")), folder)
     got = {r.term: r.bits for r in terms.collect()} if terms is not None else {}
     assert want and got.keys() == want.keys() and all(math.isclose(got[t], want[t], abs_tol=1e-12) for t in want)
+
+
+def test_near_duplicate_recall(spark, folder):
+    """Classes of 90 groups of edited texts against all pairs: every pair of a similarity of 0.8 or more shares a class."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(90):
+        base = [f"w{rng.randint(0, 10**5)}" for _ in range(rng.randint(20, 120))]
+        texts.append(base)
+        for _ in range(2):
+            other = list(base)
+            for _ in range(rng.randint(0, 3)):
+                other[rng.randrange(len(other))] = f"x{rng.randint(0, 10**5)}"
+            texts.append(other if rng.random() < 0.8 else other + base[: len(base) // 3])
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    want = {}
+    for i, g in enumerate(group):
+        want.setdefault(g, i)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), folder).collect()}
+    alike = sum(got[i] == want[g] for i, g in enumerate(group))
+    assert len(set(group)) < 240 and alike / len(texts) >= 0.99
+
+
+def test_toxicity_fit_of_repeated_keys(spark):
+    words = "calm plain words of every day that say nothing much at all here".split()
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choice(words) for _ in range(12)) + (" vilest " + rng.choice(words) + " vilest" if i < 20 else "")) for i in range(60)]
+    labels = [(i, int(i < 20)) for i in range(60)] + [(3, 0), (3, 1), (None, 1), (7, None)]
+    spare = [(3, "a different text of the same key"), (None, "no key")]
+    schema = "doc_id long, text string"
+    one = toxicity.fit(spark.createDataFrame(docs + spare, schema), spark.createDataFrame(labels, "doc_id long, toxic int"), rows=40)
+    two = toxicity.fit(spark.createDataFrame((docs + spare)[::-1], schema).repartition(3), spark.createDataFrame(labels[::-1], "doc_id long, toxic int"), rows=40)
+    assert one.usable and (one.toxic, one.ordinary) == (two.toxic, two.ordinary) and (one.weights == two.weights).all()
+    none = toxicity.fit(spark.createDataFrame([], schema), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert not none.usable and toxicity.scored(spark.createDataFrame(docs, schema), none).where("score <> 0").count() == 0
