@@ -137,3 +137,12 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_substrings"] = op9_substrings
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import report
+
+    return report(c.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), c.scratch(spark))
+
+
+QUERIES["op11_whitening"] = op11_whitening
