@@ -146,3 +146,19 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_whitening"] = op11_whitening
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(c.table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
+def _op12_sql() -> str:
+    from .licenses import oracle_sql
+
+    return oracle_sql()
+
+
+QUERIES["op12_licenses"] = op12_licenses
+ORACLE_SQL["op12_licenses"] = _op12_sql()
