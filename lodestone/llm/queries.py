@@ -162,3 +162,27 @@ def _op12_sql() -> str:
 
 QUERIES["op12_licenses"] = op12_licenses
 ORACLE_SQL["op12_licenses"] = _op12_sql()
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefixes import prefix_trie
+
+    nodes = prefix_trie(c.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), c.scratch(spark), group=100)
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+QUERIES["op13_prefix_trie"] = op13_prefix_trie
+ORACLE_SQL["op13_prefix_trie"] = """
+WITH o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS r FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h FROM (SELECT DISTINCT conv_id FROM o)),
+t AS (SELECT c.conv_id, 0 AS part, o.r, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.r <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.r, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.r > c.h),
+s AS (SELECT c.conv_id, coalesce(list(sha256(len(role)::VARCHAR || ':' || role || text) ORDER BY part, r) FILTER (WHERE r IS NOT NULL), []) AS w, coalesce(list(len(text)::BIGINT ORDER BY part, r) FILTER (WHERE r IS NOT NULL), []) AS k FROM c LEFT JOIN t USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d AS depth, sha256(array_to_string(w[1:d], ',')) AS node, CASE WHEN d > 0 THEN sha256(array_to_string(w[1:d - 1], ',')) END AS up, CASE WHEN d > 0 THEN k[d] ELSE 0 END AS size, d = len(w) AS ends FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM s)),
+n AS (SELECT depth, node, up, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids FROM p GROUP BY depth, node, up),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(k.n, 0) AS n_children, pa.conv_id AS parent_conv_id FROM n LEFT JOIN k USING (depth, node) LEFT JOIN n pa ON pa.depth = n.depth - 1 AND pa.node = n.up),
+b AS (SELECT p.depth, p.node, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves, sum((m.n_convs - 1) * m.size) AS saved FROM m JOIN p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY ALL)
+SELECT m.conv_id, m.depth::BIGINT AS depth, m.parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(ids) AS ends_sha256
+FROM m JOIN b USING (depth, node)"""
