@@ -149,12 +149,12 @@ def oracle_sql() -> str:
     split = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
 WITH t AS (SELECT *, {split} AS w FROM (VALUES {quoted}) v(tid, label, exact, text)),
-tg AS (SELECT tid, label, exact, len(w) - 2 AS n, p AS at, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS p FROM t)),
+tg AS (SELECT tid, label, exact, len(w) - 2 AS n, p AS spot, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM (SELECT *, unnest(range(1, len(w) - 1)) AS p FROM t)),
 d AS (SELECT doc_id, row_number() OVER () AS rid, {split} AS w FROM documents),
 dg AS (SELECT rid, p, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS p FROM d)),
-h AS (SELECT DISTINCT rid, tid, label, exact, n, p - at AS diag, at FROM dg JOIN tg USING (a, b, c)),
+h AS (SELECT DISTINCT rid, tid, label, exact, n, p - spot AS diag, spot FROM dg JOIN tg USING (a, b, c)),
 e AS (SELECT DISTINCT rid, tid, diag FROM h),
-v AS (SELECT h.rid, h.tid, label, exact, n, e.diag, count(DISTINCT at) / n AS share FROM e JOIN h ON e.rid = h.rid AND e.tid = h.tid AND h.diag BETWEEN e.diag - {SHIFT} * (NOT exact)::INT AND e.diag + {SHIFT} * (NOT exact)::INT GROUP BY ALL),
+v AS (SELECT h.rid, h.tid, label, exact, n, e.diag, count(DISTINCT spot) / n AS share FROM e JOIN h ON e.rid = h.rid AND e.tid = h.tid AND h.diag BETWEEN e.diag - {SHIFT} * (NOT exact)::INT AND e.diag + {SHIFT} * (NOT exact)::INT GROUP BY h.rid, h.tid, label, exact, n, e.diag),
 r AS (SELECT rid, count(*) FILTER (WHERE exact AND share = 1) AS k, min(diag) FILTER (WHERE exact AND share = 1) AS f, max(diag) FILTER (WHERE exact AND share = 1) AS l,
   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact AND share = 1) AS bl,
   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE CASE WHEN exact THEN share = 1 ELSE share >= {LEAST} END) AS al, max(share) AS s FROM v GROUP BY rid)
