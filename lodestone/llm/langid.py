@@ -4,12 +4,12 @@ language, unseen words by progressively shorter character n-grams."""
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ FIT_ROWS = 2500
 LONGEST_GRAM = 5
 #: Words whose scores a task remembers.
 HELD_WORDS = 100_000
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")  # the Unicode letters; numerals such as ½, ² or Ⅷ are none
 
 
 def words_of(text: str) -> list[str]:

@@ -1,10 +1,13 @@
 """Small fixtures against brute force: nulls, empty and long texts, ties, repeated rows, clashing columns."""
 
+import gzip
 import hashlib
+import io
 import math
 import random
 import re
 import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -305,7 +308,7 @@ def test_languages(spark, docs):
     for text, *got in zip(asked, *langid.predict(langid.Table(model), asked)):
         want = _plain_language(different, text)
         assert got[0] == want[0] and all(math.isclose(a, b, rel_tol=1e-4, abs_tol=1e-6) for a, b in zip(got[1:], want[1:])), text
-    assert langid.predict(langid.Table(model), ["123", ""])[0] == ["und", "und"]
+    assert langid.predict(langid.Table(model), ["123", "", "½ ² ① _", "Ⅷ ٣"])[0] == ["und"] * 4
     odd = langid.languages(docs.withColumn("known", F.lit("mine")), model)
     assert odd.count() == len(ROWS) and odd.where("text is null and lang_pred = 'und' and score = 0").count() == 1
     assert langid.predict(langid.Table(langid.Model([])), ["word"])[0] == ["und"]
@@ -340,8 +343,9 @@ def test_warc_round_trip(spark, folder):
     for i, _, html in rows:
         raw = (html or "").encode()
         assert got[i].payload_bytes == len(raw) and got[i].payload_digest == hashlib.sha1(raw).hexdigest()
-    only = warc.read_archives(spark, folder, ["record_id", "content_length"]).where("record_id = '<urn:lodestone:page:5>'")
-    assert [r.content_length for r in only.collect()] == [5]
+    only = warc.read_archives(spark, folder, ["record_id", "payload_length", "headers", "payload"]).where("record_id = '<urn:lodestone:page:5>'").collect()
+    assert [(r.payload_length, bytes(r.payload), r.headers["content-type"]) for r in only] == [(5, b"short", "application/http;msgtype=response")]
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", only[0].headers["warc-date"])
 
 
 def test_warc_of_odd_rows(spark, folder):
@@ -356,6 +360,65 @@ def test_warc_of_odd_rows(spark, folder):
     assert packed.count() == len(rows) and {bytes(r.payload) for r in packed.where("record_type = 'response'").collect()} == {page.encode(), b"short", b""}
     assert packed.where("record_id = '<urn:lodestone:no-page>'").count() == 1
     assert warc.round_trip(df.limit(0), folder + "e").count() == 0
+    warc.write_archives(warc.classify(df), folder + "p", compression="none")
+    whole = lambda at: sorted(((r.record_id, r.target_uri, r.payload) for r in warc.read_archives(spark, at).collect()), key=repr)
+    assert whole(folder + "p") == whole(folder + "z")
+
+
+class _Counted(io.BytesIO):
+    """A file that counts what is read of it."""
+
+    got = 0
+
+    def read(self, n=-1):
+        out = super().read(n)
+        self.got += len(out)
+        return out
+
+    def size(self):
+        return len(self.getbuffer())
+
+
+def test_unwanted_members_are_skipped(tmp_path):
+    rng = random.Random(10)
+    def text(i, body):
+        return f"WARC/1.1\r\nWARC-Type: {'response' if i % 50 else 'revisit'}\r\nWARC-Record-ID: <{i}>\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+    bodies = [rng.randbytes(400_000 if i % 50 else 10) for i in range(100)]
+    packed = b"".join(warc.member(text(i, b)) for i, b in enumerate(bodies))
+    assert gzip.decompress(packed) == b"".join(text(i, b) for i, b in enumerate(bodies))  # any reader of gzip can
+    raw = _Counted(packed)
+    found = list(warc.members(raw, "a", {"record_type": {"revisit"}}, True))
+    assert [r["payload"] for r in found] == [bodies[0], bodies[50]] and found[1]["offset"] == packed.index(warc.member(text(50, bodies[50])))
+    inflated = []
+    whole = zlib.decompressobj
+
+    class Told:
+        def __init__(self, *a):
+            self.own = whole(*a)
+
+        def decompress(self, data):
+            out = self.own.decompress(data)
+            inflated.append(len(out))
+            return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warc.zlib, "decompressobj", Told)
+        assert len(list(warc.members(_Counted(packed), "a", {"record_type": {"revisit"}}, True))) == 2
+    assert sum(inflated) < 100 * 2048  # headers, not the 39 MB behind them
+    (tmp_path / "own.warc.gz").write_bytes(packed)
+    (tmp_path / "other.warc.gz").write_bytes(gzip.compress(text(1, b"x")))
+    from pyarrow import fs
+
+    assert [warc._tells_lengths(fs.LocalFileSystem(), str(tmp_path / f"{n}.warc.gz")) for n in ("own", "other")] == [True, False]
+    with pytest.raises(ValueError):
+        list(warc.members(_Counted(packed[:-9]), "a", {}, True))
+
+
+def test_equal_sha1_is_not_enough(spark, monkeypatch):
+    monkeypatch.setattr(warc.F, "sha1", lambda col: F.lit("0" * 40))
+    df = spark.createDataFrame([(1, "u", "a" * 1000), (2, "u", "b" * 1000), (3, "u", "b" * 1000)], "page_id long, url string, html string")
+    assert sorted((r.page_id, r.record_type) for r in warc.classify(df).collect()) == [(1, "response"), (2, "revisit"), (3, "response")]
 
 
 def test_archives_that_are_cut(tmp_path):
