@@ -6,7 +6,6 @@ Subjects: (paper_id, claim_id, object_id)."""
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +31,8 @@ def ground(objects: DataFrame, claims: DataFrame, subjects: DataFrame, citations
     kept = objects.join(held.withColumnRenamed("owner_id", "object_id"), ["paper_id", "object_id"], "left_semi")
     broken = subjects.join(kept.select("paper_id", "object_id"), ["paper_id", "object_id"], "left_anti").select("paper_id", "claim_id").distinct().withColumn("_broken", F.lit(True))
     quotes = good.withColumnRenamed("owner_id", "claim_id").join(claims.select("paper_id", "claim_id", "raw_value"), ["paper_id", "claim_id"])
-    shown = quotes.groupBy("paper_id", "claim_id").agg(F.bool_or(F.col("raw_value").isNull() | gr.contains_value(F.col("quote"), F.col("raw_value"))).alias("_shown"))
+    quotes = quotes.withColumn("_holds", F.col("raw_value").isNull() | gr.contains_value(F.col("quote"), F.col("raw_value")))
+    shown = quotes.groupBy("paper_id", "claim_id").agg(F.bool_or("_holds").alias("_shown"))
     judged = claims.join(shown, ["paper_id", "claim_id"], "left").join(broken, ["paper_id", "claim_id"], "left")
     ok = F.coalesce(F.col("_shown"), F.lit(False)) & F.col("_broken").isNull()
     reason = F.when(F.col("_shown") == False, "raw value absent from cited evidence").otherwise("unresolved evidence or subject")  # noqa: E712
@@ -73,22 +73,12 @@ def evidence_matches(citations: DataFrame, record_citations: DataFrame, by: list
     def gathered(df: DataFrame, key: list[str], name: str) -> DataFrame:
         return df.groupBy("paper_id", *key).agg(F.collect_set(F.when(F.length("_q") > 0, F.col("_q"))).alias(name))
 
-    a, b = (df.withColumn("_q", folded(F.col("quote"))) for df in (citations, record_citations))
+    a, b = (df.withColumn("_q", gr.folded(F.col("quote"))) for df in (citations, record_citations))
     shared = a.select("paper_id", "owner_id", "block_id").distinct().join(b.select("paper_id", *by, "block_id").distinct(), ["paper_id", "block_id"]).select("paper_id", "owner_id", *by).distinct()
     both = shared.join(gathered(a, ["owner_id"], "_a"), ["paper_id", "owner_id"]).join(gathered(b, by, "_b"), ["paper_id", *by])
     return both.select("paper_id", "owner_id", *by, F.when(gr.covered_by_quotes(F.col("_a"), F.col("_b")), "covered").otherwise("possible_match").alias("match"))
 
 
-def folded(text):
-    """Column of ``folded_text``."""
-
-    @F.arrow_udf("string")
-    def fold(texts: pa.Array) -> pa.Array:
-        return pa.array([gr.folded_text(x) for x in texts.to_pylist()], pa.string())
-
-    return fold(text)
-
-
 def object_coverage(objects: DataFrame, citations: DataFrame, recorded: DataFrame, record_citations: DataFrame) -> DataFrame:
     """(paper_id, id, label, status, kind, record_ids): each object's state (covered, possible_match, unmatched;
     context or uncertain if it is no target of a record's role) and each record that no object claims.
@@ -117,7 +107,7 @@ def relinked(citations: DataFrame, blocks: DataFrame) -> DataFrame:
     Only the wrong citations are joined with the blocks of their paper, by paper."""
     own = citations.join(blocks.select("paper_id", "block_id", F.col("text").alias("_t")), ["paper_id", "block_id"], "left")
     judged = own.withColumn("_ok", F.col("_t").isNotNull() & gr.contains_quote(F.col("_t"), F.col("quote"))).drop("_t").withColumn("_row", F.xxhash64(*citations.columns))
-    wide = (F.length(folded(F.col("quote"))) >= 12) & (F.size(F.regexp_extract_all("quote", F.lit(r"(?U)\w+"), F.lit(0))) >= 2)
+    wide = (F.length(gr.folded(F.col("quote"))) >= 12) & (F.size(F.regexp_extract_all("quote", F.lit(r"(?U)\w+"), F.lit(0))) >= 2)
     wrong = judged.where(~F.col("_ok")).withColumn("_long", wide)
     found = wrong.where("_long").select("paper_id", "_row", "quote").distinct().join(blocks.select("paper_id", F.col("block_id").alias("_b"), "text"), "paper_id").where(gr.contains_quote(F.col("text"), F.col("quote"))).groupBy("paper_id", "_row").agg(F.countDistinct("_b").alias("_n"), F.min("_b").alias("_new"))
     fixed = wrong.join(found, ["paper_id", "_row"], "left").withColumn("new_block_id", F.when(F.col("_n") == 1, F.col("_new"))).withColumn("status", F.when(F.col("_n") == 1, "relinked").when(~F.col("_long"), "too_short").otherwise("unresolved"))

@@ -6,6 +6,7 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import groupby
 
 import pandas as pd
@@ -21,30 +22,32 @@ LONGEST, TARGET = 1200, 700
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[\[('“\"A-Z0-9])")
 
 
+#: The whole rest, or as much as fits up to a blank in its second half, or as much as fits.
+_PIECE = re.compile(rf"(?s)\s*(\S.{{0,{LONGEST - 1}}}\s*\Z|\S.{{{LONGEST // 2 - 1},{LONGEST - 1}}}(?=\x20)|\S.{{0,{LONGEST - 1}}})")
+_TRIMMED = re.compile(r"(?s)\S(?:.*\S)?")
+
+
 def bounded(text: str) -> list[str]:
     """The text in pieces of at most LONGEST, cut at the last blank of their second half or else anywhere."""
-    out, rest = [], text.strip()
-    while len(rest) > LONGEST:
-        at = rest.rfind(" ", LONGEST // 2, LONGEST + 1)
-        at = at if at >= 0 else LONGEST
-        out.append(rest[:at].strip())
-        rest = rest[at:].strip()
-    return [*out, rest] if rest else out
+    return [piece.strip() for piece in _PIECE.findall(text.strip())]
 
 
 def prose(text: str) -> list[str]:
-    """Neighbouring sentences in passages of about TARGET; a longer sentence is bounded."""
-    out: list[str] = []
-    start = end = None
-    edges = [(m.start(), m.end()) for m in _SENTENCE.finditer(text)]
-    for a, b in zip([0, *(e for _, e in edges)], [*(s for s, _ in edges), len(text)]):
-        if not text[a:b].strip():
-            continue
-        if start is not None and len(text[start:b].strip()) > TARGET:
-            out += bounded(text[start:end])
-            start = None
-        start, end = a if start is None else start, b
-    return out + bounded(text[start:end]) if start is not None else out
+    """Neighbouring sentences in passages of about TARGET; a longer sentence is bounded.
+
+    Sentences are trimmed spans, so a passage's length is its last end less its first start: a fold
+    over the spans either moves the last passage's end or begins another."""
+    starts = [0, *(m.end() for m in _SENTENCE.finditer(text))]
+    spans = [m.span() for a, b in zip(starts, [*starts[1:], len(text)]) if (m := _TRIMMED.search(text, a, b))]
+
+    def grown(out: list[tuple[int, int]], span: tuple[int, int]) -> list[tuple[int, int]]:
+        if out and span[1] - out[-1][0] <= TARGET:
+            out[-1] = (out[-1][0], span[1])
+        else:
+            out.append(span)
+        return out
+
+    return [piece for a, b in reduce(grown, spans, []) for piece in bounded(text[a:b])]
 
 
 def passages_of(text: str | None, kind: str | None) -> list[str]:
