@@ -20,6 +20,8 @@ def query(name: str, sql: str | None = None):
     """Registers a function of (t), where t(name) reads a table."""
 
     def add(build: Callable) -> Callable:
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered already")
         QUERIES[name] = lambda spark, sf_dir: build(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
         if sql:
             ORACLE_SQL[name] = sql
@@ -161,11 +163,6 @@ def _(t):
     return metrics.agreement(t("labels").select("doc_id", "quality"), right, ["doc_id"], "quality")
 
 
-@query("j33_pending_retries", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND n_chars > 500")
-def _(t):
-    return t("documents").where("n_chars > 500").join(t("labels").select("doc_id"), "doc_id", "left_anti").select("doc_id")
-
-
 @query("j22_cited_neighbours", "WITH c AS (SELECT conv_id, turn, role = 'user' AS cited FROM conversations), n AS (SELECT *, coalesce(lag(cited) OVER w, false) OR coalesce(lead(cited) OVER w, false) OR cited AS kept FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) SELECT conv_id, turn FROM n WHERE kept")
 def _(t):
     w = Window.partitionBy("conv_id").orderBy("turn")
