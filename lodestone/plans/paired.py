@@ -24,7 +24,7 @@ def _studies(orders: DataFrame) -> DataFrame:
         price = F.when(F.lit(told), F.col("o_totalprice")).otherwise(F.col("o_totalprice") * F.when(key % 11 == 0, 2.0).otherwise(1.005))
         champion = F.when((F.col("o_orderstatus") == "F") != (F.lit(not told) & (key % 5 == 0)), "yes").otherwise("no")
         device = F.struct(
-            key.cast("string").alias("device_id"), lost(7, F.col("o_orderstatus")).alias("family_id"), F.concat(F.lit("Cell "), lost(13, F.lit("")), F.when(F.lit(not told) & (key % 13 == 0), "X").otherwise(""), key.cast("string")).alias("label"),
+            key.cast("string").alias("device_id"), lost(7, F.col("o_orderstatus")).alias("family_id"), F.concat(F.lit("Cell "), F.when(F.lit(not told) & (key % 13 == 0), "X").otherwise(""), key.cast("string")).alias("label"),
             lost(3, F.concat(F.lit("arm "), F.col("o_orderpriority"))).alias("variant"), champion.alias("champion_status"),
         )
         measured = F.struct(
