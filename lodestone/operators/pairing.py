@@ -39,6 +39,43 @@ _NAMED = f"array<struct<name:string,value:{VALUE}>>"
 _GROUP = f"struct<head:array<string>,conditions:{_NAMED}>"
 
 
+def _names(studies: DataFrame) -> DataFrame:
+    """(paper_id, side, names): the texts of a study that name a value or a material, each with what it is
+    called among properties, conditions, treatments and materials. The vocabulary is asked once a text of a
+    study, by one expression each, wherever the text stands."""
+    study = lambda path: F.col(f"study.{path}")
+    none = "array<string>"
+
+    def texts(*columns: Column) -> Column:
+        return F.flatten(F.array(*[F.coalesce(x, F.array()).cast(none) for x in columns]))
+
+    def inner(path: str, read) -> Column:
+        return F.flatten(F.transform(F.coalesce(study(path), F.array()), lambda r: F.concat(*[F.coalesce(x, F.array()).cast(none) for x in read(r)])))
+
+    def named(*values: Column) -> list[Column]:
+        return [F.transform(v, lambda x: x["name"]) for v in values]
+
+    def within(items: Column, read) -> Column:  # a missing list among them is an empty one
+        return F.flatten(F.transform(items, lambda x: F.coalesce(read(x), F.array().cast(none))))
+
+    held = texts(
+        inner("device_families", lambda r: [F.array(r["variant"], r["full_stack_raw"], r["architecture"]), F.transform(r["layers"], lambda x: x["material"]), within(r["layers"], lambda x: F.transform(x["constituents"], lambda y: y["name"])), F.transform(r["absorbers"], lambda x: x["formula"]["raw_value"]), within(r["absorbers"], lambda x: F.transform(x["constituents"], lambda y: y["name"]))]),
+        inner("individual_devices", lambda r: [F.array(r["subject_context"]["treated_material"]), *named(r["subject_context"]["conditions"], r["reported_properties"])]),
+        inner("performance_observations", lambda r: named(r["metrics"], r["measurement_conditions"])),
+        inner("population_statistics", lambda r: [*named(r["metrics"], r["measurement_conditions"]), F.flatten(F.transform(r["subjects"], lambda x: F.concat(F.array(x["treated_material"]), F.coalesce(F.transform(x["conditions"], lambda v: v["name"]), F.array().cast(none)))))]),
+        inner("stability_tests", lambda r: [*named(r["conditions"]), F.flatten(F.transform(r["checkpoints"], lambda x: F.concat(F.array(x["time"]["name"]), F.coalesce(F.transform(x["conditions"], lambda v: v["name"]), F.array().cast(none)))))]),
+    )
+    each = studies.select("paper_id", "side", F.explode(F.array_distinct(held)).alias("text")).where("text is not null")
+    text = F.col("text")
+    own = F.struct(vo.property_name(text).alias("property"), vo.protocol_name(text).alias("protocol"), vo.treatment_name(text).alias("treatment"), vo.material_name(text).alias("material"))
+    return each.select("paper_id", "side", F.struct(text.alias("key"), own.alias("value")).alias("e")).groupBy("paper_id", "side").agg(F.map_from_entries(F.collect_list("e")).alias("names"))
+
+
+def _called(text: Column, kind: str) -> Column:
+    """What a text of the study is called; see ``_names``."""
+    return F.try_element_at(F.col("names"), text)[kind]
+
+
 def _said(value: Column) -> Column:
     """The text where it says something."""
     return F.when(~value.isin("", "not_reported"), value)
@@ -59,7 +96,7 @@ def _is_air_mass(v: Column) -> Column:
 
 def condition_name(v: Column) -> Column:
     """The registered or else the plain name of a condition; an air-mass spectrum is a spectrum under any name of illumination."""
-    own = F.coalesce(vo.protocol_name(v["name"]), vo.property_name(v["name"]))
+    own = F.coalesce(_called(v["name"], "protocol"), _called(v["name"], "property"))
     return vo.let(own, lambda n: F.when(n.isin("illumination", "illuminationstandard") & _is_air_mass(v), "illuminationspectrum").otherwise(n))
 
 
@@ -67,7 +104,7 @@ def _condition(v: Column) -> Column:
     """A condition with its name and whether it is a registered one; spellings of the air-mass spectrum are one."""
     def made(name: Column) -> Column:
         raw = F.when((name == "illuminationspectrum") & _is_air_mass(v), "AM1.5G").otherwise(v["raw_value"])
-        return F.struct(name.alias("name"), F.struct(v["name"].alias("name"), raw.alias("raw_value"), v["value_number"].alias("value_number"), v["unit"].alias("unit")).alias("value"), vo.protocol_name(v["name"]).isNotNull().alias("supported"))
+        return F.struct(name.alias("name"), F.struct(v["name"].alias("name"), raw.alias("raw_value"), v["value_number"].alias("value_number"), v["unit"].alias("unit")).alias("value"), _called(v["name"], "protocol").isNotNull().alias("supported"))
 
     return vo.let(condition_name(v), made)
 
@@ -83,7 +120,7 @@ def conditions(metrics_: Column, stated: Column) -> Column:
 
     A stated one that alone of its name repeats the only metric of that name is the same statement;
     others stay, repeated or contradictory as they may be."""
-    old = F.transform(F.filter(_list(metrics_), lambda v: vo.protocol_name(v["name"]).isNotNull()), _condition)
+    old = F.transform(F.filter(_list(metrics_), lambda v: _called(v["name"], "protocol").isNotNull()), _condition)
     new = F.transform(_list(stated), _condition)
 
     def merged(x: Column) -> Column:
@@ -98,16 +135,16 @@ def conditions(metrics_: Column, stated: Column) -> Column:
 
 def has_identity(subject: Column) -> Column:
     """Whether a subject states an input quantity of its treatment."""
-    return F.exists(_list(subject["conditions"]), lambda v: vo.treatment_name(v["name"]).isNotNull())
+    return F.exists(_list(subject["conditions"]), lambda v: _called(v["name"], "treatment").isNotNull())
 
 
 def _inputs(values: Column) -> Column:
-    return F.filter(_named(values, lambda v: vo.treatment_name(v["name"])), lambda x: x["name"].isNotNull())
+    return F.filter(_named(values, lambda v: _called(v["name"], "treatment")), lambda x: x["name"].isNotNull())
 
 
 def subject_identity(subject: Column) -> Column:
     """(head, conditions) of a treated subject: its stage and material, and the input quantities."""
-    head = F.array(vo.formula_text(subject["treatment_stage"]), vo.formula_text(vo.material_name(subject["treated_material"])))
+    head = F.array(vo.formula_text(subject["treatment_stage"]), vo.formula_text(_called(subject["treated_material"], "material")))
     return F.struct(head.alias("head"), _inputs(subject["conditions"]).alias("conditions")).cast(_GROUP)
 
 
@@ -124,7 +161,7 @@ def device_treatment(device: Column) -> Column:
         return F.concat(x["given"], F.filter(x["own"], lambda p, i: ~copy(p, i)))
 
     inputs = vo.let(F.struct(_inputs(subject["conditions"]).alias("given"), _inputs(device["reported_properties"]).alias("own")), joined)
-    stage, material = F.coalesce(subject["treatment_stage"], F.lit("not_reported")), F.coalesce(vo.material_name(_said(subject["treated_material"])), F.lit("not_reported"))
+    stage, material = F.coalesce(subject["treatment_stage"], F.lit("not_reported")), F.coalesce(_called(_said(subject["treated_material"]), "material"), F.lit("not_reported"))
     some = (F.size(inputs) > 0) | (stage != "not_reported") | (material != "not_reported")
     return F.when(some, F.struct(F.array(stage, vo.formula_text(material)).alias("head"), inputs.alias("conditions")).cast(_GROUP))
 
@@ -158,10 +195,10 @@ def family_features(family: Column) -> Column:
     layers = F.coalesce(family["layers"], F.array())
     printed = F.when(F.size(layers) == 0, F.array(F.coalesce(F.nullif(family["full_stack_raw"], F.lit("")), family["architecture"]))).otherwise(F.array().cast(none))
     values = F.concat(parts(family["layers"], lambda x: x["material"]), parts(family["absorbers"], lambda x: x["formula"]["raw_value"]), printed).cast(none)
-    named = F.transform(F.filter(values, lambda v: v.isNotNull()), vo.material_name)
-    placed = F.flatten(F.transform(F.filter(layers, lambda x: x["sequence"].isNotNull()), lambda x: vo.let(vo.material_name(x["material"]), lambda m: F.transform(F.concat(F.array(F.concat(F.lit("material:"), m)), _words(m)), lambda w: F.concat(F.lit("layer:"), x["sequence"].cast("string"), F.lit(":"), w)))))
+    named = F.transform(F.filter(values, lambda v: v.isNotNull()), lambda v: _called(v, "material"))
+    placed = F.flatten(F.transform(F.filter(layers, lambda x: x["sequence"].isNotNull()), lambda x: vo.let(_called(x["material"], "material"), lambda m: F.transform(F.concat(F.array(F.concat(F.lit("material:"), m)), _words(m)), lambda w: F.concat(F.lit("layer:"), x["sequence"].cast("string"), F.lit(":"), w)))))
     variant = F.nullif(family["variant"], F.lit(""))
-    own = F.when(variant.isNotNull(), F.concat(_words(vo.material_name(variant)), F.array(F.concat(F.lit("variant:"), tx.scientific_text(variant))))).otherwise(F.array().cast(none))
+    own = F.when(variant.isNotNull(), F.concat(_words(_called(variant, "material")), F.array(F.concat(F.lit("variant:"), tx.scientific_text(variant))))).otherwise(F.array().cast(none))
     return vo.let(named, lambda n: F.array_distinct(F.concat(F.flatten(F.transform(n, _words)), F.transform(n, lambda m: F.concat(F.lit("material:"), m)), own, placed)))
 
 
@@ -171,7 +208,7 @@ def family_stack(family: Column) -> Column:
     places = F.transform(layers, lambda x: x["sequence"])
     whole = (F.size(layers) > 0) & ~F.exists(places, lambda p: p.isNull()) & (F.size(F.array_distinct(places)) == F.size(layers))
     ordered = F.array_sort(F.transform(layers, lambda x: F.struct(x["sequence"].alias("p"), x["material"].alias("m"))))
-    return F.when(whole, F.transform(ordered, lambda x: vo.material_name(x["m"])))
+    return F.when(whole, F.transform(ordered, lambda x: _called(x["m"], "material")))
 
 
 def _record(rows: DataFrame, kind: str, **columns: Column) -> DataFrame:
@@ -189,8 +226,9 @@ def records(studies: DataFrame) -> DataFrame:
     descriptor (a cohort's or loose specimen's label, which must agree), features, the order of layers,
     treatments (groups; null if not all are told by inputs), protocol, and how devices were measured."""
     def rows(kind: str) -> DataFrame:
-        return studies.select("paper_id", "side", F.col("study.performance_observations").alias("observations"), F.explode(f"study.{kind}").alias("r"))
+        return studies.select("paper_id", "side", "names", F.col("study.performance_observations").alias("observations"), F.explode(f"study.{kind}").alias("r"))
 
+    studies = studies.join(_names(studies), ["paper_id", "side"], "left")
     r = F.col("r")
     families = _record(rows("device_families"), "device_families", code=tx.sample_code(r["label"], r["variant"]), features=family_features(r), stack=family_stack(r), variant=r["variant"])
     used = F.filter(F.coalesce("observations", F.array()), lambda o: (o["device_id"] == r["device_id"]) & ~o["measurement_type"].isin("not_reported", "other"))
@@ -213,7 +251,7 @@ def records(studies: DataFrame) -> DataFrame:
     )
 
     def tagged(values: Column, tag: str) -> Column:
-        return _named(values, lambda v: F.concat(F.lit(f"{tag}:"), vo.property_name(v["name"])))
+        return _named(values, lambda v: F.concat(F.lit(f"{tag}:"), _called(v["name"], "property")))
 
     points = F.coalesce(r["checkpoints"], F.array())
     times = tagged(F.filter(F.transform(points, lambda p: p["time"]), lambda t: t.isNotNull()), "checkpoint_time")

@@ -65,6 +65,7 @@ CASES = {
     # stacks: two of three layers in order, and equal variants, which are codes here
     "stacks": ({"device_families": [family("f", "v", ("ITO", "C60", "Au"))]}, {"device_families": [family("g", "v", ("ITO", "Au"))]}),
     "loose": ({"device_families": [family("f", "v", ("ITO", "Au"), sequence=False)]}, {"device_families": [family("g", "v", ("Au", "ITO"), sequence=False)]}),
+    "parts": ({"device_families": [{"family_id": "f", "layers": [{"material": "ITO", "constituents": None}, {"material": "x", "constituents": [{"name": "gold", "role": "dopant"}, {"name": "PbI2", "role": "precursor"}]}]}]}, {"device_families": [{"family_id": "g", "layers": [{"material": "ITO"}, {"material": "x", "constituents": [{"name": "Au", "role": "dopant"}]}]}]}),
     "empty": ({}, {"individual_devices": [device("a")]}),
     "nothing": ({}, {}),
 }
@@ -75,7 +76,7 @@ WANT = {
     ("protocol", "o", "r", 1.0, False), ("protocol", "p", "q", 1.0, False), ("half", "o", "o", 1.0, False), ("apart", "o", "o", 3 / 5, False), ("copied", "o", "o", 1.0, False),
     ("treated", "a", "y", 1.0, False), ("treated", "b", "x", 1.0, False), ("twice", "a", "a", 1.0, False),
     ("cohorts", "q", "t", 2 / 4, False), ("cohorts", "r", "u", 1.0, False),
-    ("tests", "t", "v", 1.0, False), ("stacks", "f", "g", (5 / 6 + 1) / 2, False), ("loose", "f", "g", 1.0, False),
+    ("tests", "t", "v", 1.0, False), ("stacks", "f", "g", (5 / 6 + 1) / 2, False), ("loose", "f", "g", 1.0, False), ("parts", "f", "g", 1.0, False),
 }
 
 
