@@ -1,4 +1,4 @@
-"""Registered queries of the pairing of records."""
+"""Registered queries of the pairing of records and of published revisions."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import facts, pairing
 from lodestone.plans.registry import query
-from lodestone.sources import shared
+from lodestone.sources import revisions, shared
 
 
 def _studies(orders: DataFrame) -> DataFrame:
@@ -60,3 +60,19 @@ def _(t):
     spark, place = orders.sparkSession, shared.folder(orders.sparkSession)
     own = shared.written(pairing.records(shared.written(_studies(orders), f"{place}/studies")), f"{place}/records")
     return pairing.relationships(own, pairing.paired(own, shared.folder(spark)))
+
+
+@query("k12_published_revisions", "SELECT 1 AS revision, o_orderstatus AS state, count(*) AS n, 'kept' AS outcome FROM orders GROUP BY 2 UNION ALL SELECT 2, o_orderpriority, count(*), 'kept' FROM orders GROUP BY 2 UNION ALL SELECT 3, NULL, NULL, 'refused'")
+def _(t):
+    orders = t("orders")
+    spark, path = orders.sparkSession, shared.folder(orders.sparkSession)
+    counts = lambda column: orders.groupBy(F.col(column).alias("state")).agg(F.count("*").alias("n"))
+    revisions.compare_and_swap(counts("o_orderstatus"), path, 0)
+    revisions.compare_and_swap(counts("o_orderpriority"), path, 1)
+    outcome = "kept"
+    try:
+        revisions.compare_and_swap(counts("o_custkey"), path, 1)  # a writer that has not seen the second one
+    except revisions.Conflict as told:
+        outcome = "refused" if told.current == 2 else "lost"
+    kept = [revisions.read(spark, path, k).select(F.lit(k).alias("revision"), "state", "n", F.lit("kept").alias("outcome")) for k in (1, 2)]
+    return kept[0].union(kept[1]).union(orders.limit(1).select(F.lit(3), F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(outcome)))
