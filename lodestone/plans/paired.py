@@ -1,13 +1,13 @@
-"""Registered queries of the pairing of records and of published revisions."""
+"""Registered queries of the pairing of records, of published revisions and of discovery runs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators import facts, pairing
 from lodestone.plans.registry import query
-from lodestone.sources import revisions, shared
+from lodestone.sources import feeds, revisions, shared
 
 
 def _studies(orders: DataFrame) -> DataFrame:
@@ -76,3 +76,20 @@ def _(t):
         outcome = "refused" if told.current == 2 else "lost"
     kept = [revisions.read(spark, path, k).select(F.lit(k).alias("revision"), "state", "n", F.lit("kept").alias("outcome")) for k in (1, 2)]
     return kept[0].union(kept[1]).union(orders.limit(1).select(F.lit(3), F.lit(None).cast("string"), F.lit(None).cast("long"), F.lit(outcome)))
+
+
+@query("z01_discovery", "SELECT event_type AS source, event_id::VARCHAR AS entry, NULL AS error FROM events WHERE event_type <> 'error' UNION ALL SELECT DISTINCT 'error', NULL, 'failed' FROM events WHERE event_type = 'error'")
+def _(t):
+    events = t("events")
+    spark, path = events.sparkSession, shared.folder(events.sparkSession)
+    page = F.floor(F.col("event_id") / 500)
+    pages = events.groupBy(F.col("event_type").alias("source"), page.alias("page")).agg(F.collect_list(F.struct(F.col("event_id").cast("string").alias("id"))).alias("entries"))  # at most 500 a page
+    order = Window.partitionBy("source").orderBy("page")
+    numbered = pages.select("source", (F.row_number().over(order) - 1).alias("page"), F.lead("page").over(order).isNotNull().alias("more"), "entries")
+    following = F.when(F.col("source") == "error", F.lit("0")).when(F.col("more"), (F.col("page") + 1).cast("string"))  # the last source's cursors lead back
+    text = F.to_json(F.struct("entries", following.alias("next")))
+    numbered.select("source", "page", text.alias("value")).repartition("source", "page").write.partitionBy("source", "page").text(f"{path}/service")
+    sources = [r[0] for r in numbered.select("source").distinct().collect()]  # the kinds of events
+    found, failed = feeds.run(spark, f"folder:{path}/service", sources, f"{path}/state")
+    rows = found.select("source", F.get_json_object("entry", "$.id").alias("entry"), F.lit(None).cast("string").alias("error"))
+    return rows.unionByName(failed.select("source", F.lit(None).cast("string").alias("entry"), F.lit("failed").alias("error")))

@@ -79,5 +79,6 @@ def test_seals(spark, tmp_path):
     for name in (first, second):  # the local file system's own checksums, which would stop the reading
         os.unlink(os.path.join(folder, f".{os.path.basename(name)}.crc"))
     os.unlink(second)
-    open(os.path.join(folder, "part-9.parquet"), "w").close()
+    with open(os.path.join(folder, "part-9.parquet"), "w") as out:
+        out.write("new")
     assert sorted(r.problem for r in revisions.differences(spark, path, 1).collect()) == ["added", "changed", "missing"]
