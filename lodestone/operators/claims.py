@@ -106,14 +106,15 @@ def relinked(citations: DataFrame, blocks: DataFrame) -> DataFrame:
 
     Only the wrong citations are joined with the blocks of their paper, by paper."""
     own = citations.join(blocks.select("paper_id", "block_id", F.col("text").alias("_t")), ["paper_id", "block_id"], "left")
-    judged = own.withColumn("_ok", F.col("_t").isNotNull() & gr.contains_quote(F.col("_t"), F.col("quote"))).drop("_t").withColumn("_row", F.xxhash64(*citations.columns))
     wide = (F.length(gr.folded(F.col("quote"))) >= 12) & (F.size(F.regexp_extract_all("quote", F.lit(r"(?U)\w+"), F.lit(0))) >= 2)
-    wrong = judged.where(~F.col("_ok")).withColumn("_long", wide)
-    found = wrong.where("_long").select("paper_id", "_row", "quote").distinct().join(blocks.select("paper_id", F.col("block_id").alias("_b"), "text"), "paper_id").where(gr.contains_quote(F.col("text"), F.col("quote"))).groupBy("paper_id", "_row").agg(F.countDistinct("_b").alias("_n"), F.min("_b").alias("_new"))
-    fixed = wrong.join(found, ["paper_id", "_row"], "left").withColumn("new_block_id", F.when(F.col("_n") == 1, F.col("_new"))).withColumn("status", F.when(F.col("_n") == 1, "relinked").when(~F.col("_long"), "too_short").otherwise("unresolved"))
-    kept = judged.where("_ok").withColumn("new_block_id", F.col("block_id")).withColumn("status", F.lit("kept"))
-    names = [*citations.columns, "new_block_id", "status"]
-    return kept.select(*names).union(fixed.select(*names))
+    judged = own.withColumn("_ok", F.col("_t").isNotNull() & gr.contains_quote(F.col("_t"), F.col("quote"))).withColumn("_long", wide).drop("_t")
+    asked = judged.where(~F.col("_ok") & F.col("_long")).select("paper_id", "quote").distinct()
+    found = asked.join(blocks.select("paper_id", F.col("block_id").alias("_b"), "text"), "paper_id").where(gr.contains_quote(F.col("text"), F.col("quote")))
+    found = found.groupBy("paper_id", "quote").agg(F.countDistinct("_b").alias("_n"), F.min("_b").alias("_new"))  # where a quote stands is a matter of the quote, not of the row
+    one = F.col("_n") == 1
+    status = F.when(F.col("_ok"), "kept").when(~F.col("_long"), "too_short").when(one, "relinked").otherwise("unresolved")
+    moved = F.when(F.col("_ok"), F.col("block_id")).when(F.col("_long") & one, F.col("_new"))
+    return judged.join(found, ["paper_id", "quote"], "left").select(*citations.columns, moved.alias("new_block_id"), status.alias("status"))
 
 
 def id_issues(objects: DataFrame, claims: DataFrame, subjects: DataFrame) -> DataFrame:

@@ -113,8 +113,9 @@ def drift_issues(settings: DataFrame, runs: DataFrame) -> DataFrame:
     tagged = settings.join(F.broadcast(first), "arm")
     base = tagged.where((F.col("paper_id") == F.col("_f.paper_id")) & (F.col("repeat") == F.col("_f.repeat"))).select("arm", "name", F.col("value").alias("base"))
     others = runs.select(*_RUN).distinct().join(F.broadcast(first), "arm").where(~((F.col("paper_id") == F.col("_f.paper_id")) & (F.col("repeat") == F.col("_f.repeat")))).drop("_f")
-    names = settings.select("arm", "name").distinct()
-    wide = others.join(names, "arm").join(settings, [*_RUN, "name"], "left").join(base, ["arm", "name"], "left")
+    # a row an arm: its setting names, which are as many as an experiment declares
+    names = settings.select("arm", "name").distinct().groupBy("arm").agg(F.collect_list("name").alias("_names"))
+    wide = others.join(F.broadcast(names), "arm").select(*_RUN, F.explode("_names").alias("name")).join(settings, [*_RUN, "name"], "left").join(base, ["arm", "name"], "left")
     return wide.where(~nested.same_json(F.col("value"), F.col("base"))).select(*_RUN, "name")
 
 

@@ -256,6 +256,18 @@ def _(t):
     return claims.relinked(noted.where(ascii_), blocks).select("paper_id", "block_id", "new_block_id")
 
 
+@query(
+    "j23_relink_elsewhere",
+    "WITH c AS (SELECT conv_id, turn, coalesce(text, '') AS text FROM conversations), q AS (SELECT c.*, n.text AS cited FROM c LEFT JOIN c n ON n.conv_id = c.conv_id AND n.turn = c.turn + 1), h AS (SELECT q.conv_id, q.turn, count(DISTINCT b.turn) AS n, min(b.turn) AS new FROM q JOIN c b ON b.conv_id = q.conv_id AND contains(b.text, q.text) GROUP BY 1, 2), "
+    "w AS (SELECT q.*, n, new, length(regexp_replace(lower(text), '[^\\p{L}\\p{N}_.%<>~=+/-]', '', 'g')) >= 12 AND len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+')) >= 2 AS long, coalesce(contains(cited, text) AND text <> '', false) AS ok FROM q LEFT JOIN h USING (conv_id, turn)) "
+    "SELECT conv_id AS paper_id, turn + 1 AS block_id, CASE WHEN ok THEN turn + 1 WHEN long AND n = 1 THEN new END AS new_block_id, CASE WHEN ok THEN 'kept' WHEN NOT long THEN 'too_short' WHEN n = 1 THEN 'relinked' ELSE 'unresolved' END AS status FROM w",
+)
+def _(t):
+    turns = t("conversations").select(F.col("conv_id").alias("paper_id"), F.col("turn").alias("block_id"), F.coalesce("text", F.lit("")).alias("text"))
+    noted = turns.select("paper_id", (F.col("block_id") + 1).alias("block_id"), F.col("text").alias("quote"))  # each text is cited as the next block's
+    return claims.relinked(noted, turns).select("paper_id", "block_id", "new_block_id", "status")
+
+
 @query("v01_id_issues", "SELECT conv_id AS paper_id, role AS id, 'repeated' AS issue FROM conversations GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL SELECT DISTINCT conv_id, 'nobody', 'no such subject' FROM conversations WHERE turn = 0")
 def _(t):
     objects = t("conversations").select(F.col("conv_id").alias("paper_id"), F.col("role").alias("object_id"))

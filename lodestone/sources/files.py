@@ -25,8 +25,15 @@ def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame
 
 
 def read_events(spark: SparkSession, path: str, version: int = EVENT_VERSION) -> DataFrame:
-    """Events of JSON lines files. A line that is no event, or one of a newer version, is an error."""
-    rows = spark.read.schema(EVENTS).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)
+    """Events of JSON lines files. A line that is no event, or one of a newer version, is an error; but a
+    file's last line that was never ended, and is no event, is what an interrupted writer left, and goes."""
+    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(path)
+    lines = lines.select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"), F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+    read = lines.withColumn("_bad", F.from_json("value", f"{EVENTS}, _bad string", {"columnNameOfCorruptRecord": "_bad"})["_bad"].isNotNull())
+    files = read.groupBy("_file", "_size").agg(F.sum(F.octet_length("value").cast("long") + 1).alias("_bytes"), F.max_by("_bad", "_at").alias("_cut"), F.max_by("value", "_at").alias("_last"), F.count_if("_bad").alias("_n"))
+    cut = files.where((F.col("_bytes") == F.col("_size") + 1) & F.col("_cut") & (F.col("_n") == 1)).select("_file", F.col("_last").alias("value"))
+    kept = read.join(cut, ["_file", "value"], "left_anti").where(F.trim("value") != "")
+    rows = kept.select(F.from_json("value", EVENTS, {"mode": "FAILFAST"}).alias("e")).select("e.*")
     newer = F.col("event_version") > version
     return rows.withColumn("event_version", F.when(newer, F.raise_error(F.concat(F.lit("event version "), F.col("event_version").cast("string")))).otherwise(F.col("event_version")))
 

@@ -232,3 +232,17 @@ def test_sources(spark, tmp_path):
     for run in ("r1", "r2", "r1"):
         files.append_ledger(spark.range(3), str(tmp_path / "ledger"), run)
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 6
+
+
+def test_events_of_an_interrupted_writer(spark, tmp_path):
+    line = '{"event_version":1,"event":"e","event_id":"%s","sequence":1,"timestamp":"2024-01-01T00:00:00","run_id":"r"}'
+    whole = "\n".join(line % i for i in range(5))
+    cases = {"ended": (whole + "\n", 5), "open": (whole, 5), "cut": (whole + "\n" + (line % 9)[:40], 5), "only": ("{", 0), "bad": (whole + "\n{\n", None), "middle": ("{\n" + whole, None), "two": ("{\n" + whole + "\n{", None)}
+    for name, (text, n) in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "e.jsonl").write_text(text)
+        if n is None:
+            with pytest.raises(Exception):
+                files.read_events(spark, str(tmp_path / name)).collect()
+        else:
+            assert files.read_events(spark, str(tmp_path / name)).count() == n, name
