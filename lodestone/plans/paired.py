@@ -1,11 +1,12 @@
-"""Registered queries of the pairing of records, of published revisions and of discovery runs."""
+"""Registered queries of the pairing of records, of copies of facts, of published revisions and of discovery runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.operators import facts, pairing
+from lodestone.functions import quantities as qt
+from lodestone.operators import facts, merging, pairing
 from lodestone.plans.registry import query
 from lodestone.sources import feeds, revisions, shared
 
@@ -93,3 +94,27 @@ def _(t):
     found, failed = feeds.run(spark, f"folder:{path}/service", sources, f"{path}/state")
     rows = found.select("source", F.get_json_object("entry", "$.id").alias("entry"), F.lit(None).cast("string").alias("error"))
     return rows.unionByName(failed.select("source", F.lit(None).cast("string").alias("entry"), F.lit("failed").alias("error")))
+
+
+@query(
+    "o06_linked_representations",
+    "WITH f AS (SELECT l_orderkey, l_linenumber, l_returnflag AS name, l_quantity AS q, l_linenumber % 2 AS s, CASE l_linenumber % 2 WHEN 1 THEN '/l/' ELSE '/a/' END || l_linenumber || '/' || l_partkey || '/' || l_suppkey || '/' || l_extendedprice AS path FROM lineitem), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, name, q, s ORDER BY length(path), path) AS k, count(*) OVER (PARTITION BY l_orderkey, name, s) AS n FROM f), "
+    "c AS (SELECT a.l_orderkey, a.path, b.path AS other FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.name = b.name AND a.q = b.q AND a.k = b.k AND a.s = 1 AND b.s = 0), x AS (SELECT a.l_orderkey, a.path, b.path AS other FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.name = b.name AND a.q <> b.q AND a.n = 1 AND b.n = 1 AND a.s = 1 AND b.s = 0) "
+    "SELECT f.l_orderkey, f.path, f.path || coalesce(',' || c.other, '') AS paths, x.other AS contradiction FROM f LEFT JOIN c USING (l_orderkey, path) LEFT JOIN x USING (l_orderkey, path) WHERE NOT EXISTS (FROM c d WHERE d.l_orderkey = f.l_orderkey AND d.other = f.path)",
+)
+def _(t):
+    lines = t("lineitem")
+    spark = lines.sparkSession
+    odd = F.col("l_linenumber") % 2 == 1
+    raw = F.when(odd, F.col("l_quantity")).otherwise(F.col("l_quantity") / 1000)
+    unit = F.when(odd, "nm").otherwise("µm")  # the same values in another unit
+    rows = lines.select(
+        F.col("l_orderkey").alias("paper_id"), F.lit("truth").alias("side"), F.concat_ws("/", F.when(odd, "/l").otherwise("/a"), *[F.col(x).cast("string") for x in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]).alias("path"), F.col("l_returnflag").alias("name"), F.lit("stack").alias("source"), F.lit("o").alias("owner"),
+        F.create_map(F.lit("k"), F.lit("v")).alias("context"), qt.claim(raw.cast("string"), raw, unit).alias("claim"), F.lit(None).cast("string").alias("text"),
+    )
+    place = shared.folder(spark)
+    rows = shared.written(rows, f"{place}/rows")
+    links = rows.select("paper_id", "side").distinct().select("*", F.lit("/l").alias("left_path"), F.lit("/a").alias("right_path"))
+    found, against = merging.copies(rows, links)
+    kept = merging.merged(rows, found, f"{place}/merged").join(against, ["paper_id", "side", "path"], "left")
+    return kept.select(F.col("paper_id").alias("l_orderkey"), "path", F.array_join("source_paths", ",").alias("paths"), F.col("other_path").alias("contradiction"))
