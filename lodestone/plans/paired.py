@@ -13,7 +13,7 @@ from lodestone.sources import feeds, revisions, shared
 
 def _studies(orders: DataFrame) -> DataFrame:
     """A paper for each customer: the orders as devices with an observation each, their states as families; the
-    prediction leaves things out, changes them, or names another sample."""
+    prediction leaves things out, changes them, or names another sample (which nobody measured)."""
     key = F.col("o_orderkey")
     out = []
     for side in ("truth", "prediction"):
@@ -34,7 +34,7 @@ def _studies(orders: DataFrame) -> DataFrame:
         )
         variant = F.concat(F.lit("arm "), F.col("o_orderstatus"))
         family = F.struct(F.col("o_orderstatus").alias("family_id"), F.lit("Design").alias("label"), F.concat(F.lit("stack "), F.col("o_orderstatus")).alias("full_stack_raw"), (variant if told else F.when(F.col("o_custkey") % 4 != 0, variant)).alias("variant"))
-        rows = orders.groupBy("o_custkey").agg(F.collect_set(family).alias("device_families"), F.collect_list(device).alias("individual_devices"), F.collect_list(measured if told else F.when(key % 13 != 0, measured)).alias("performance_observations"))
+        rows = orders.groupBy("o_custkey").agg(F.collect_set(family).alias("device_families"), F.collect_list(device).alias("individual_devices"), F.collect_list(F.when(key % 13 != 0, measured)).alias("performance_observations"))
         out.append(rows.select(F.col("o_custkey").cast("string").alias("paper_id"), F.lit(side).alias("side"), F.to_json(F.struct("device_families", "individual_devices", "performance_observations")).alias("document")))
     return facts.read_studies(out[0].union(out[1]))
 
