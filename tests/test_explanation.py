@@ -27,7 +27,7 @@ def test_reasons(spark):
     assert reasons("recovery") == {"m": "matched", "u": "one_to_one_competition", "c": "one_to_one_competition", "b1": "value_mismatch", "b2": "value_mismatch", "b3": "one_to_one_competition", "p": "property_mismatch", "n": "no_candidate", "v": "value_mismatch", "x": "one_to_one_competition", "vc": "value_mismatch"}
     m = got[("attributed", "truth", "m")]
     assert (m.n_candidates, m.n_eligible) == (3, 2) and [c.predicted_path for c in m.candidates] == ["2", "1"]
-    assert got[("attributed", "truth", "n")].candidates == [] and got[("attributed", "prediction", "1")].n_candidates == 8
+    assert got[("attributed", "truth", "n")].candidates == [] and got[("attributed", "prediction", "1")].n_candidates == 9
     assert [c.truth_path for c in got[("attributed", "prediction", "1")].candidates] == ["c", "m"]
 
 
