@@ -5,7 +5,7 @@ texts: there is no table of one text against the other."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import grounding as gr
@@ -15,6 +15,9 @@ from lodestone.functions.vocabulary import let
 # The longest citation, the shortest quotation that is mended, the shortest part of it, the most citations of a record.
 LONGEST, STITCHED, PART, MOST_CITED = 1600, 80, 40, 8
 
+# ASCII characters that count in a comparison, as ``grounding.folded`` has it: for them no folding is asked.
+_COUNTED = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_.%<>~=+/-"
+
 _RESULT = "struct<rule:string,new_quotes:array<string>>"
 
 
@@ -85,13 +88,8 @@ def restitched(citations: DataFrame, blocks: DataFrame, by: list[str]) -> DataFr
     holds the quotation where nothing changes: also without a block, or if the block is empty. Of blocks that
     share an id the greatest text counts; a null quotation is empty and stays."""
     texts = blocks.groupBy("paper_id", "block_id").agg(F.max("text").alias("_t"))
-    sizes = citations.groupBy("paper_id", *by).agg(F.count("*").alias("_n"))
-    key = [F.col(x).eqNullSafe(F.col(f"_by_{x}")) for x in ("paper_id", *by)]
-    on = key[0]
-    for x in key[1:]:
-        on = on & x
-    own = citations.join(sizes.withColumnsRenamed({x: f"_by_{x}" for x in ("paper_id", *by)}), on).drop(*[f"_by_{x}" for x in ("paper_id", *by)])
-    own = own.join(texts, ["paper_id", "block_id"], "left")
+    full = F.count(F.lit(1)).over(Window.partitionBy("paper_id", *by)) >= MOST_CITED
+    own = citations.withColumn("_full", full).join(texts, ["paper_id", "block_id"], "left")
     wrong = F.col("_t").isNotNull() & (F.coalesce("quote", F.lit("")) != "") & ~gr.contains_quote(F.col("_t"), F.col("quote"))
     own = own.withColumn("_wrong", wrong)
     own = own.withColumn("_q", F.when(F.col("_wrong"), gr.folded(F.col("quote")))).withColumn("_s", F.when(F.col("_wrong"), gr.folded(F.col("_t"))))
@@ -103,7 +101,8 @@ def restitched(citations: DataFrame, blocks: DataFrame, by: list[str]) -> DataFr
     def cut(raw: Column, spans: Column) -> Column:
         """Texts of spans of the folded text: each character counts as often as its folding is long."""
         chars = F.split(raw, "")
-        at = F.flatten(F.transform(chars, lambda c, i: F.array_repeat(i, F.length(gr.folded(c)))))
+        size = lambda c: F.when(F.contains(F.lit(_COUNTED), c), 1).when(F.ascii(c) < 128, 0).otherwise(F.length(gr.folded(c)))
+        at = F.flatten(F.transform(chars, lambda c, i: F.array_repeat(i, size(c))))
         one = lambda s, places: raw.substr(F.get(places, s["start"]) + 1, F.get(places, s["start"] + s["size"] - 1) - F.get(places, s["start"]) + 1)
         return let(at, lambda places: F.transform(spans, lambda s: F.trim(one(s, places))))
 
@@ -115,7 +114,7 @@ def restitched(citations: DataFrame, blocks: DataFrame, by: list[str]) -> DataFr
     longer = F.when(F.char_length(second) > F.char_length(first), second).otherwise(first)
     out = (
         F.when(F.col("_whole"), result("restore_complete_short_block", F.array("_t")))
-        .when(F.col("_cut").isNotNull() & fits & (F.col("_n") < MOST_CITED), result("split_two_exact_source_spans", F.col("_cut")))
+        .when(F.col("_cut").isNotNull() & fits & ~F.col("_full"), result("split_two_exact_source_spans", F.col("_cut")))
         .when(F.col("_cut").isNotNull() & fits, result("retain_longest_exact_source_span", F.array(longer)))
         .otherwise(result(None, F.array("quote")))
     )
