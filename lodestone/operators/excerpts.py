@@ -5,6 +5,8 @@ texts: there is no table of one text against the other."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,18 +81,19 @@ def two_spans(query: Column, source: Column, least: int = PART) -> Column:
     return let(F.struct(_held(source, query, "left").alias("p"), _held(source, query, "right").alias("z")), decided)
 
 
-def restitched(citations: DataFrame, blocks: DataFrame, by: list[str]) -> DataFrame:
+def restitched(citations: DataFrame, blocks: DataFrame, by: list[str], stands: Callable[[Column, Column], Column] = gr.contains_quote) -> DataFrame:
     """``citations`` (paper_id, block_id, quote, and ``by``, the list in which they stand) with rule and new_quotes.
 
     A quotation that does not stand in its block, but whose characters do, in order, is replaced by
     the block if that is no longer than a citation; else by the two exact spans of which it was made, or,
     in a list that is full, by the longer one (the first of two equal ones). rule is null and new_quotes
     holds the quotation where nothing changes: also without a block, or if the block is empty. Of blocks that
-    share an id the greatest text counts; a null quotation is empty and stays."""
+    share an id the greatest text counts; a null quotation is empty and stays. ``stands`` tells whether a text
+    holds a quotation; ``contains_folded`` also takes one that is cut within a word."""
     texts = blocks.groupBy("paper_id", "block_id").agg(F.max("text").alias("_t"))
     full = F.count(F.lit(1)).over(Window.partitionBy("paper_id", *by)) >= MOST_CITED
     own = citations.withColumn("_full", full).join(texts, ["paper_id", "block_id"], "left")
-    wrong = F.col("_t").isNotNull() & (F.coalesce("quote", F.lit("")) != "") & ~gr.contains_quote(F.col("_t"), F.col("quote"))
+    wrong = F.col("_t").isNotNull() & (F.coalesce("quote", F.lit("")) != "") & ~stands(F.col("_t"), F.col("quote"))
     own = own.withColumn("_wrong", wrong)
     own = own.withColumn("_q", F.when(F.col("_wrong"), gr.folded(F.col("quote")))).withColumn("_s", F.when(F.col("_wrong"), gr.folded(F.col("_t"))))
     long = F.length("_q") >= STITCHED

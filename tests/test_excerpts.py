@@ -3,6 +3,7 @@ from difflib import SequenceMatcher
 
 from pyspark.sql import functions as F
 
+from lodestone.functions import grounding as gr
 from lodestone.operators import excerpts
 
 FIRST = "The complete photovoltaic device stack contains the reported absorber."
@@ -52,3 +53,14 @@ def test_stitched_quotes(spark):
     assert got[("full", "long", fine)] == ("retain_longest_exact_source_span", [SECOND.replace("power", "fine - power")])
     for key in [("l1", "long", FIRST), ("l2", "other", stitched), ("l2", "null", stitched), ("l2", "gone", stitched), ("l2", "short", None), (None, "long", "short words")]:
         assert got[key] == (None, [key[2]])
+
+
+def test_a_quotation_cut_within_a_word_stands_there_folded(spark):
+    """j24's SQL asks for the folded text alone; by the operator's own rule a match must not run on into a word."""
+    text = f"{FIRST} Intervening source material. {SECOND}"
+    inside = text.replace("source material", "source-material")[4:-6].replace("-material", "  material")
+    blocks = spark.createDataFrame([("p", "b", text)], "paper_id string, block_id string, text string")
+    cited = spark.createDataFrame([("p", "b", inside), ("p", "b", f"{FIRST} {SECOND}")], "paper_id string, block_id string, quote string")
+    for stands, want in ((gr.contains_quote, "restore_complete_short_block"), (gr.contains_folded, None)):
+        got = {r.quote: r.rule for r in excerpts.restitched(cited, blocks, [], stands).collect()}
+        assert got == {inside: want, f"{FIRST} {SECOND}": "restore_complete_short_block"}
