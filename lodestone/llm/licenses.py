@@ -18,7 +18,8 @@ LEAST = 0.7
 #: Template grams that are broadcast at most; beyond it they are joined by shuffle.
 BROADCAST_GRAMS = 500_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
+#: What stands between words, the letters being lower-cased.
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BITS = 64
 
 # Phrases that count only word for word.
@@ -57,8 +58,9 @@ _ADDED = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels
 
 
 def words(text: Column) -> Column:
-    """Lower-cased (A-Z) words; null has none."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    """Lower-cased (A-Z) words; null has none. Cutting at what stands between them takes a fraction of the
+    time of extracting them; only before the first and behind the last can a piece be empty."""
+    return F.array_remove(F.split(F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _LOWER), _BETWEEN), "")
 
 
 def templates(spark: SparkSession) -> DataFrame:
