@@ -21,10 +21,17 @@ LONGEST_GRAM = 5
 #: Words whose scores a task remembers.
 HELD_WORDS = 100_000
 _WORD = regex.compile(r"\p{L}+")  # the Unicode letters; numerals such as ½, ² or Ⅷ are none
+#: UTF-8 bytes with blanks for the ASCII ones that are no letters.
+_BLANKED = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
+#: Words that are scored at a time.
+_AT_ONCE = 8192
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """The runs of letters, in lower case. Where all beyond ASCII is letters, blanks part them."""
+    lowered = text.lower()
+    parts = lowered.encode().translate(_BLANKED).decode().split()
+    return parts if not parts or "".join(parts).isalpha() else _WORD.findall(lowered)
 
 
 class Model:
@@ -57,52 +64,70 @@ class Model:
         self.gram_rows = np.array([np.log10((grams[g] + 0.5) / (sums[len(g)] + 0.5 * known)) for g in self.grams], np.float32).reshape(-1, max(1, n))
         self.floor = np.full(n, -math.log10(2 * known + float(np.max(total, initial=1.0))), np.float32)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """The mean over positions of the longest n-gram known there, else the next shorter."""
-        marked = f"^{word}$"
-        held, floors = [], 0
-        for at in range(len(marked)):
-            for size in range(min(self.longest, len(marked) - at), 0, -1):
-                row = self.grams.get(marked[at : at + size])
-                if row is not None:
-                    held.append(row)
-                    break
-            else:
-                floors += 1
-        return (self.gram_rows[held].sum(0) + self.floor * floors) / len(marked)
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """A row a word: the mean over positions of the longest n-gram known there, else the next shorter."""
+        known, longest = self.grams.get, self.longest
+        held, counts, lengths = [], [], []
+        for word in words:
+            marked, before = f"^{word}$", len(held)
+            end = len(marked)
+            for at in range(end):
+                for to in range(min(at + longest, end), at, -1):
+                    row = known(marked[at:to])
+                    if row is not None:
+                        held.append(row)
+                        break
+            counts.append(len(held) - before)
+            lengths.append(end)
+        some = np.flatnonzero(counts)
+        sums = np.zeros((len(words), len(self.labels)), np.float32)
+        if len(some):
+            starts = np.cumsum([0, *counts[:-1]])[some]
+            sums[some] = np.add.reduceat(self.gram_rows[held], starts, axis=0)
+        length = np.array(lengths, np.float32)[:, None]
+        return (sums + self.floor * (length - np.array(counts, np.float32)[:, None])) / length
 
 
 class Table(dict):
     """word -> row of ``rows``: its score in each language, and whether it is known. Words are scored
-    once and kept, up to ``most``."""
+    once, many at a time, and kept; beyond ``most`` the table begins anew."""
 
     def __init__(self, model: Model, most: int = HELD_WORDS):
         super().__init__()
         self.model, self.most = model, most
         self.rows = np.zeros((1024, len(model.labels) + 1))
 
-    def __missing__(self, word: str) -> int:
-        at, row = len(self), self.model.words.get(word)
-        if at == len(self.rows):
-            self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-        self.rows[at, :-1] = self.model.unseen(word) if row is None else self.model.word_rows[row]
-        self.rows[at, -1] = row is not None
-        self[word] = at
-        return at
+    def meet(self, words: set[str]) -> None:
+        """Scores those of the words that the table does not hold."""
+        new = [w for w in words if w not in self]
+        if self and len(self) + len(new) > self.most:
+            self.clear()
+            new = list(words)
+        start, known = len(self), self.model.words.get
+        if start + len(new) > len(self.rows):
+            self.rows = np.concatenate((self.rows[:start], np.zeros((max(start, len(new)) + 1024, self.rows.shape[1]))))
+        for low in range(0, len(new), _AT_ONCE):
+            part = new[low : low + _AT_ONCE]
+            at = [known(w, -1) for w in part]
+            own = self.rows[start + low : start + low + len(part)]
+            own[:, -1] = met = np.array(at) >= 0
+            own[met, :-1] = self.model.word_rows[[i for i in at if i >= 0]]
+            own[~met, :-1] = self.model.unseen([w for w, i in zip(part, at) if i < 0])
+            self.update(zip(part, range(start + low, start + low + len(part))))
 
 
 def predict(table: Table, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
     """Labels, their shares of the likelihood, and the shares of words that are known in any language."""
     labels, scores, known = [], [], []
-    for text in texts:
-        found = words_of(text)
+    each = [words_of(text) for text in texts]
+    if table.model.labels:
+        table.meet(set().union(*each))
+    for found in each:
         if not found or not table.model.labels:
             labels.append("und")
             scores.append(0.0)
             known.append(0.0)
             continue
-        if len(table) > table.most:
-            table.clear()
         places = np.fromiter(map(table.__getitem__, found), np.int64, len(found))
         sums = table.rows[places].sum(0)
         likely = sums[:-1]

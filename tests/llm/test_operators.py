@@ -317,6 +317,24 @@ def test_languages(spark, docs):
     assert langid.recognised(docs, model).columns == docs.columns and langid.recognised(docs.limit(0), model).count() == 0
 
 
+def test_unseen_words_are_scored_at_once(monkeypatch):
+    """One pass over all new words of a batch, each as its own mean over positions; a table beyond its bound begins anew."""
+    model = langid.Model([("a", "bana bana mana mana"), ("b", "trost trost frost frost")])
+    asked, calls = ["bana nana ½x trostan", "zzz, trost_mana", "Éa frosten! bana", ""], []
+    plain = langid.Model.unseen
+    monkeypatch.setattr(langid.Model, "unseen", lambda self, words: calls.append(sorted(words)) or plain(self, words))
+    got = langid.predict(langid.Table(model), asked)
+    assert calls == [["frosten", "nana", "trostan", "x", "zzz", "éa"]]
+    one = langid.predict(langid.Table(model, most=1), asked[:1]), langid.predict(langid.Table(model, most=1), asked[1:])
+    assert [a + b for a, b in zip(*one)] == list(got)
+    for word, row in zip(calls[0], model.unseen(calls[0])):
+        marked, total = f"^{word}$", 0
+        for at in range(len(marked)):
+            known = [model.grams[g] for to in range(len(marked), at, -1) if (g := marked[at:to]) in model.grams]
+            total = total + (model.gram_rows[known[0]] if known else model.floor)
+        assert np.allclose(row, total / len(marked), rtol=1e-5)
+
+
 def test_language_fit_is_not_crowded_out(spark):
     rows = [("de", f"wort{i} haus{i}") for i in range(900)] + [("en", "one text")] * 600 + [("sv", f"ord{i} hus") for i in range(5)]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
