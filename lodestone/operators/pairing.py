@@ -228,7 +228,7 @@ def records(studies: DataFrame) -> DataFrame:
     def rows(kind: str) -> DataFrame:
         return studies.select("paper_id", "side", "names", F.col("study.performance_observations").alias("observations"), F.explode(f"study.{kind}").alias("r"))
 
-    studies = studies.join(_names(studies), ["paper_id", "side"], "left")
+    studies = shared.spread(studies.join(_names(studies), ["paper_id", "side"], "left"), "paper_id", "side")
     r = F.col("r")
     families = _record(rows("device_families"), "device_families", code=tx.sample_code(r["label"], r["variant"]), features=family_features(r), stack=family_stack(r), variant=r["variant"])
     used = F.filter(F.coalesce("observations", F.array()), lambda o: (o["device_id"] == r["device_id"]) & ~o["measurement_type"].isin("not_reported", "other"))
@@ -359,7 +359,8 @@ def scores(truth: DataFrame, prediction: DataFrame, least: float = LEAST, relati
     sides = [x.select(*keys, F.coalesce("descriptor", F.lit("\x00")).alias("_d"), F.struct(*[c for c in x.columns if c not in ("side", *keys)]).alias(n)) for x, n in ((truth.join(limit, keys), "a"), (prediction, "b"))]
     a, b = F.col("a"), F.col("b")
     apart = F.coalesce(a["code"] != b["code"], F.lit(False)) & F.col("kind").isin("device_families", "individual_devices")
-    pairs = similarity(sides[0].join(sides[1], [*keys, "_d"]).where("a._over is null").where(~apart), relative, absolute)
+    candidates = shared.spread(sides[0].join(sides[1], [*keys, "_d"]).where("a._over is null").where(~apart), *keys)
+    pairs = similarity(candidates, relative, absolute)
     content = F.when((F.col("kind") == "device_families") & (a["code"] == b["code"]), (F.col("content") + 1) / 2).otherwise(F.col("content"))
     some, fit = F.lit(False), F.lit(True)
     for field in ("family_id", "device_id"):
@@ -402,7 +403,7 @@ def paired(own: DataFrame, folder: str, least: float = LEAST, relative: float =
 
 def record_pairs(studies: DataFrame, folder: str, **limits: float) -> DataFrame:
     """``paired`` of studies (paper_id, side, study). The studies are read once, the records written once."""
-    own = shared.written(studies.select("paper_id", "side", "study"), f"{folder}/studies")
+    own = shared.written(shared.spread(studies.select("paper_id", "side", "study"), "paper_id", "side"), f"{folder}/studies")
     return paired(shared.written(records(own), f"{folder}/records"), folder, **limits)
 
 

@@ -59,7 +59,7 @@ def _(t):
 def _(t):
     orders = t("orders")
     spark, place = orders.sparkSession, shared.folder(orders.sparkSession)
-    own = shared.written(pairing.records(shared.written(_studies(orders), f"{place}/studies")), f"{place}/records")
+    own = shared.written(pairing.records(shared.written(shared.spread(_studies(orders), "paper_id", "side"), f"{place}/studies")), f"{place}/records")
     return pairing.relationships(own, pairing.paired(own, shared.folder(spark)))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import comparison, linkage, records
 from lodestone.plans import registry
+from lodestone.sources import shared
 
 
 def best(scores):
@@ -135,3 +136,11 @@ def test_aligned_items(spark):
     assert {(r.l, r.r, r.left, r.right, r.forced) for r in got} == {(1, 2, 0, 0, True), (1, 2, 1, 1, False), (1, 2, 2, 1, False)}
     stacks = spark.createDataFrame([(["a", "b"], ["a", "c"], "v", " v"), (["a"], None, None, None), ([], [], "", "")], "a array<string>, b array<string>, x string, y string")
     assert [r[0] for r in stacks.select(linkage.stack_similarity("a", "b", F.col("x"), F.col("y"))).collect()] == [3 / 5, None, 0.0]
+
+
+def test_blocks_keep_a_shuffles_partitions(spark):
+    """Few bytes are not few tasks: blocks are dealt over as many partitions as a shuffle has, by a number that is kept."""
+    pairs = spark.createDataFrame([(k, "a", "b", 0.5) for k in range(50)], "k long, x string, y string, s double")
+    assert shared.spread(pairs, "k").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = linkage.one_to_one(pairs, ["k"], "x", "y", "s")
+    assert found.count() == 50 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
