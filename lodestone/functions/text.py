@@ -15,19 +15,30 @@ _PANEL = r"(?iU)\(([a-z])\)|(?<!\w)([a-z])\)(?=\s|[,:;.])"
 _CODE = r"[A-Za-z0-9]+(?:[-_/][A-Za-z0-9]+)*"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda's variable is bound, where a column would be copied."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _by_icu(text: Column, name: str, method: str, flag: bool, plain=lambda x: x) -> Column:
+    """ICU's method of a text, computed once; texts of ASCII alone, which are most, get ``plain``. Null stays null."""
+    called = lambda x: F.reflect(F.lit(f"com.ibm.icu.{name}"), F.lit(method), x, F.lit(flag))
+    return let(text, lambda x: F.when(F.length(x) == F.octet_length(x), plain(x)).when(x.isNotNull(), called(x)))
+
+
 def nfc(text: Column) -> Column:
     """Unicode NFC; null stays null."""
-    return F.when(text.isNotNull(), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)))
+    return _by_icu(text, "text.Normalizer", "compose", False)
 
 
 def nfkc(text: Column) -> Column:
     """Unicode NFKC; null stays null."""
-    return F.when(text.isNotNull(), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True)))
+    return _by_icu(text, "text.Normalizer", "compose", True)
 
 
 def casefold(text: Column) -> Column:
     """Full Unicode case folding; null stays null."""
-    return F.when(text.isNotNull(), F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), text, F.lit(True)))
+    return _by_icu(text, "lang.UCharacter", "foldCase", True, F.lower)
 
 
 def unescape(html: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
+from lodestone.functions.text import let
 
 # Synonyms of properties, conditions, treatments, roles and materials.
 PROPERTIES = {
@@ -123,11 +124,6 @@ _NUMERIC_CUE = r"(?i)[0-9<>≤≥±%]|\b(?:half|quarter|third|percent|twice)\b"
 _COEFFICIENT = r"(?:[0-9]+(?:\.[0-9]+)?(?:\s*-\s*[xyz])?|[xyz])"
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once: a lambda's variable is bound, where a column would be copied."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _quoted(values) -> str:
     return ", ".join("'" + x.replace("'", "\\'") + "'" for x in values)
 
@@ -143,7 +139,7 @@ def one_of(value: Column, words) -> Column:
 
 
 def _key(text: Column) -> Column:
-    return F.regexp_replace(tx.casefold(text), r"(?U)[\s_-]+", "")
+    return F.regexp_replace(tx.casefold(text), r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000_-]+", "")
 
 
 def formula_text(text: Column) -> Column:
@@ -300,28 +296,39 @@ def metric_parts(name: Column, unit_dims) -> Column:
     ``unit_dims`` gives the dimensions of a unit text, null if unreadable: a unit leaves the name only
     if it fits the metric."""
     suffix = r"^(.+?)\s*(?:\[([^\[\]()]+)\]|\(([^\[\]()]+)\))$"
-    own = F.trim(name)
-    unit = F.when(own.rlike(suffix), F.trim(F.concat(F.regexp_extract(own, suffix, 2), F.regexp_extract(own, suffix, 3))))
-    base = F.when(own.rlike(suffix), F.trim(F.regexp_extract(own, suffix, 1))).otherwise(name)
-    plain = tx.collapse(F.translate(tx.casefold(base), "–−", "--"))
-    key = property_name(F.regexp_extract(plain, _METRIC, 2))
-    wanted = lookup({"pce": "", "ff": "", "voc": "A-1 kg m2 s-3", "jsc": "A m-2"}, key)
-    alias = unit.isNotNull() & (property_name(unit) == property_name(base))
-    fits = unit.isNull() | F.coalesce(unit_dims(unit) == wanted, F.lit(False))
-    read = ~F.coalesce(alias, F.lit(False)) & plain.rlike(_METRIC) & fits
+    dims = {"pce": "", "ff": "", "voc": "A-1 kg m2 s-3", "jsc": "A m-2"}
     none = F.lit(None).cast("string")
-    return F.struct(
-        F.when(read, key).otherwise(property_name(name)).alias("metric"),
-        F.when(read & (F.regexp_extract(plain, _METRIC, 1) != ""), "mean").otherwise(none).alias("statistic"),
-        F.when(read & (F.regexp_extract(plain, _METRIC, 3) != ""), "jv_scan").otherwise(none).alias("method"),
-        F.when(read, unit).otherwise(none).alias("unit"),
-    )
+
+    def cut(own: Column) -> Column:
+        return F.when(own.rlike(suffix), F.trim(F.concat(F.regexp_extract(own, suffix, 2), F.regexp_extract(own, suffix, 3))))
+
+    def based(x: Column) -> Column:
+        base = let(F.trim(x["name"]), lambda own: F.when(own.rlike(suffix), F.trim(F.regexp_extract(own, suffix, 1))).otherwise(x["name"]))
+        return let(base, lambda base: let(F.struct(base.alias("base"), tx.collapse(F.translate(tx.casefold(base), "–−", "--")).alias("plain")), lambda y: keyed(x, y)))
+
+    def keyed(x: Column, y: Column) -> Column:
+        key = F.when(y["plain"].rlike(_METRIC), property_name(F.regexp_extract(y["plain"], _METRIC, 2)))
+        return let(key, lambda key: named(x, y, key))
+
+    def named(x: Column, y: Column, key: Column) -> Column:
+        alias = x["unit"].isNotNull() & (property_name(x["unit"]) == property_name(y["base"]))
+        fits = x["unit"].isNull() | F.coalesce(x["dims"] == lookup(dims, key), F.lit(False))
+        read = key.isNotNull() & fits & ~F.coalesce(alias, F.lit(False))
+        return let(F.coalesce(read, F.lit(False)), lambda read: F.struct(
+            F.when(read, key).otherwise(property_name(x["name"])).alias("metric"),
+            F.when(read & (F.regexp_extract(y["plain"], _METRIC, 1) != ""), "mean").otherwise(none).alias("statistic"),
+            F.when(read & (F.regexp_extract(y["plain"], _METRIC, 3) != ""), "jv_scan").otherwise(none).alias("method"),
+            F.when(read, x["unit"]).otherwise(none).alias("unit"),
+        ))
+
+    unit = let(F.trim(name), cut)
+    return let(F.struct(name.alias("name"), unit.alias("unit"), unit_dims(unit).alias("dims")), based)
 
 
-def performance_name(metric: Column, name: Column, measurement: Column) -> Column:
-    """Eta is power efficiency in photovoltaic measurements only; conditions get their registered name."""
+def performance_name(metric: Column, condition: Column, measurement: Column) -> Column:
+    """Eta is power efficiency in photovoltaic measurements only; conditions have their registered name (of ``protocol_name``)."""
     solar = measurement.isin("jv_scan", "stabilized_power_output", "certified_measurement")
-    return F.when(metric.isin("η", "efficiency") & F.coalesce(solar, F.lit(False)), "pce").otherwise(F.coalesce(protocol_name(name), metric))
+    return F.when(metric.isin("η", "efficiency") & F.coalesce(solar, F.lit(False)), "pce").otherwise(F.coalesce(condition, metric))
 
 
 def scoped_property(name: Column, material: Column) -> Column:

@@ -104,14 +104,18 @@ def _family_facts(studies: DataFrame) -> list[DataFrame]:
     none = F.create_map()
     out = [_rows(families, "stack", F.concat("path", F.lit("/polarity")), F.col("owner"), F.lit("polarity"), none, text=F.col("r.polarity"))]
     out.append(_rows(families.where(F.coalesce(F.size("r.layers"), F.lit(0)) <= 0), "stack", F.concat("path", F.lit("/full_stack_raw")), F.col("owner"), F.lit("stack"), none, text=F.coalesce(F.nullif("r.full_stack_raw", F.lit("")), F.col("r.architecture"))))
-    layers = _each(families, "r.layers", "layer").withColumn("material", vo.material_name(F.col("layer.material")))
+    each, named = _each(families, "r.layers", "layer"), vo.material_name(F.col("layer.material"))
     place = _context(layer_sequence=F.col("layer.sequence"), layer_material=F.col("material"))
-    for field, text in (("material", F.col("material")), ("role", F.col("layer.role")), ("material_form", F.col("layer.material_form"))):
-        own = _context(layer_sequence=F.col("layer.sequence")) if field == "material" else place
-        out.append(_rows(layers, "stack", F.concat("layer_path", F.lit(f"/{field}")), F.col("owner"), F.lit(field), own, text=text))
-    properties = layers.select("*", F.posexplode("layer.reported_properties").alias("_j", "v"))
+    fields = F.array(*[F.struct(F.lit(name).alias("field"), text.alias("text")) for name, text in (("material", F.col("material")), ("role", F.col("layer.role")), ("material_form", F.col("layer.material_form")))])
+    fields = each.withColumn("material", named).select(*_KEY, "layer_path", "owner", F.col("layer.sequence").alias("sequence"), "material", fields.alias("_a"))
+    fields = fields.select("*", F.explode("_a").alias("_f"))
+    at = _context(layer_sequence=F.col("sequence"))
+    own = F.when(F.col("_f.field") == "material", at).otherwise(F.map_concat(at, _context(layer_material=F.col("material"))))
+    out.append(_rows(fields, "stack", F.concat("layer_path", F.lit("/"), "_f.field"), F.col("owner"), F.col("_f.field"), own, text=F.col("_f.text")))
+    # a layer's material is read where there is something to place in it
+    properties = each.select("*", F.posexplode("layer.reported_properties").alias("_j", "v")).withColumn("material", named)
     out.append(_rows(properties, "stack", F.concat("layer_path", F.lit("/reported_properties/"), F.col("_j").cast("string")), F.col("owner"), vo.property_name(vo.scoped_property(F.col("v.name"), F.col("layer.material"))), place, value=F.col("v")))
-    out += _part_facts(layers, "layer", place)
+    out += _part_facts(each, "layer", _context(layer_sequence=F.col("layer.sequence"), layer_material=named))
     absorbers = _each(families, "r.absorbers", "absorber")
     count = F.size("r.absorbers")
     link = _context(absorber=F.when(count > 1, tx.scientific_text(F.col("absorber.label"))))
@@ -166,8 +170,7 @@ def _device_facts(studies: DataFrame) -> list[DataFrame]:
     devices = _collection(studies, "individual_devices")
     context = _context(family_id=reference("device_families", F.col("r.family_id")), variant=F.col("r.variant"))
     own = devices.select("*", F.posexplode("r.reported_properties").alias("_j", "v"))
-    treated = vo.treatment_name(F.col("v.name"))
-    name = F.when(treated.isNotNull(), F.concat(F.lit("treatment:"), treated)).otherwise(vo.property_name(F.col("v.name")))
+    name = vo.let(vo.treatment_name(F.col("v.name")), lambda treated: F.coalesce(F.concat(F.lit("treatment:"), treated), vo.property_name(F.col("v.name"))))
     out = [_rows(own, "processing", F.concat("path", F.lit("/reported_properties/"), F.col("_j").cast("string")), F.col("owner"), name, context, value=F.col("v"))]
     return out + _treatment_facts(devices, "r.subject_context", F.concat("path", F.lit("/subject_context")), _context(family_id=reference("device_families", F.col("r.family_id")), subject_context=_subject(F.col("r.subject_context"))))
 
@@ -183,20 +186,23 @@ def device_context(identifier: Column) -> Column:
 
 def _outcomes(df: DataFrame, group: str, context: Column) -> list[DataFrame]:
     """Facts of metrics and conditions of an observation or population. Conditions among the metrics are conditions."""
-    metrics_ = _each(df.withColumn("_c", context), "r.metrics", "v")
+    protocol = F.concat(F.coalesce("r.measurement_conditions", F.array().cast(f"array<{VALUE}>")), F.filter(F.coalesce("r.metrics", F.array().cast(f"array<{VALUE}>")), lambda m: vo.protocol_name(m["name"]).isNotNull()))
+    metrics_ = _each(df.withColumn("_c", context).withColumn("_o", protocol), "r.metrics", "v")
     named = vo.metric_parts(F.col("v.name"), lambda u: un.unit(u)["dims"])
     metrics_ = metrics_.withColumn("_m", named).withColumn("_p", vo.protocol_name(F.col("v.name")))
-    protocol = F.concat(F.coalesce("r.measurement_conditions", F.array().cast(f"array<{VALUE}>")), F.filter(F.coalesce("r.metrics", F.array().cast(f"array<{VALUE}>")), lambda m: vo.protocol_name(m["name"]).isNotNull()))
     stated = F.map_from_entries(F.filter(F.array(F.struct(F.lit("statistic_type").alias("k"), F.col("_m.statistic").alias("v")), F.struct(F.lit("measurement_type").alias("k"), F.col("_m.method").alias("v"))), lambda e: e["v"].isNotNull()))
     full = F.map_concat(F.map_filter("_c", lambda k, v: ~F.array_contains(F.map_keys(stated), k)), stated)
-    name = vo.performance_name(F.col("_m.metric"), F.col("v.name"), F.col("r.measurement_type"))
+    name = vo.performance_name(F.col("_m.metric"), F.col("_p"), F.col("r.measurement_type"))
     # a unit in the name, or percentage points for bare shares, as the value's unit
     unit = F.when(F.nullif("v.unit", F.lit("")).isNotNull(), F.col("v.unit")).when(F.col("_m.unit").isNotNull(), F.col("_m.unit")).when(name.isin("pce", "ff") & qt.bare_number(F.col("v.raw_value")), "%")
     value = F.struct(F.col("v.name").alias("name"), F.col("v.raw_value").alias("raw_value"), F.col("v.value_number").alias("value_number"), unit.alias("unit"))
-    out = [_rows(metrics_.where("_p is null"), group, F.col("v_path"), F.col("owner"), name, full, value=value, protocol=protocol, kind=F.col("r.measurement_type"))]
+    measured = F.col("_p").isNull()  # the others are conditions
+    out = [_rows(
+        metrics_, group, F.col("v_path"), F.col("owner"), name, F.when(measured, full).otherwise(F.col("_c")), value=F.when(measured, value).otherwise(F.col("v").cast(VALUE)),
+        protocol=F.when(measured, F.col("_o")).otherwise(F.array().cast(f"array<{VALUE}>")), kind=F.when(measured, F.col("r.measurement_type")),
+    )]
     conditions = _each(df.withColumn("_c", context), "r.measurement_conditions", "v")
     out.append(_rows(conditions, group, F.col("v_path"), F.col("owner"), F.coalesce(vo.protocol_name(F.col("v.name")), vo.property_name(F.col("v.name"))), F.col("_c"), value=F.col("v")))
-    out.append(_rows(metrics_.where("_p is not null"), group, F.col("v_path"), F.col("owner"), F.col("_p"), F.col("_c"), value=F.col("v")))
     return out
 
 

@@ -12,6 +12,7 @@ from lodestone.functions import units as un
 from lodestone.functions import vocabulary as vo
 from lodestone.operators import claims, comparison, constraints, facts, ingest, linkage, nested, passages, projections, repair
 from lodestone.plans.registry import long, query
+from lodestone.sources import shared
 
 
 def pick(column: str, *values) -> F.Column:
@@ -155,7 +156,8 @@ def _(t):
 @query("x32_metric_parts", f"SELECT p_partkey, {sql_pick('p_partkey', 'pce', 'voc', 'ff', 'jsc(v)')} AS metric, {sql_pick('p_partkey', 'mean', None, None, None)} AS statistic, {sql_pick('p_partkey', 'jv_scan', None, None, None)} AS method, {sql_pick('p_partkey', '%', 'mV', None, None)} AS unit FROM part")
 def _(t):
     name = pick("p_partkey", "Average PCE from J-V curve (%)", "Voc [mV]", "Fill factor (FF)", "Jsc (V)")
-    return t("part").select("p_partkey", vo.metric_parts(name, lambda u: un.unit(u)["dims"]).alias("m")).select("p_partkey", "m.*")
+    parts = shared.spread(t("part").select("p_partkey"), "p_partkey")
+    return parts.select("p_partkey", vo.metric_parts(name, lambda u: un.unit(u)["dims"]).alias("m")).select("p_partkey", "m.*")
 
 
 @query("x28_sample_code", f"SELECT p_partkey, {sql_pick('p_partkey', 'A', 'S-12', None, None)} AS code FROM part")
@@ -651,11 +653,13 @@ _SQL_LINES = "WITH x AS (SELECT l_orderkey AS paper_id, row_number() OVER (PARTI
 
 
 def _studies(t, collection: str, entry, wrap):
-    """A study for each order, as JSON: ``wrap`` of the list of its lines' entries."""
+    """A study for each order, as JSON: ``wrap`` of the list of its lines' entries. Read once, whatever the number of projections."""
+    lines = shared.spread(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"), "l_orderkey")
     rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")))
-    lists = t("lineitem").groupBy(F.col("l_orderkey").alias("paper_id")).agg(F.transform(rows, entry).alias("e"))
+    lists = lines.groupBy(F.col("l_orderkey").alias("paper_id")).agg(F.transform(rows, entry).alias("e"))
     made = lists.select("paper_id", F.lit("truth").alias("side"), F.to_json(F.struct(F.array(wrap(F.col("e"))).alias(collection))).alias("document"))
-    return facts.read_studies(made).withColumn("ids", F.create_map().cast("map<string,string>"))
+    read = shared.written(facts.read_studies(made), f"{shared.folder(lines.sparkSession)}/studies")
+    return read.withColumn("ids", F.create_map().cast("map<string,string>"))
 
 
 def _value(name: F.Column, number: F.Column, unit: str) -> F.Column:
