@@ -37,3 +37,8 @@ def test_texts_beyond_ascii_still_go_through_icu(spark):
     import unicodedata as u
 
     assert [tuple(r) for r in got] == [(None,) * 3 if x is None else (x.casefold(), u.normalize("NFC", x), u.normalize("NFKC", x)) for x in texts]
+
+
+def test_places_of_studies_are_judged_once(spark):
+    for name in ("j25_study_issues", "j25_study_reports"):
+        assert plan(registry.QUERIES[name](spark, DATA)).count("ArrowEvalPython") == 1, name  # the records' digests
