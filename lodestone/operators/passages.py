@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as tx
+from lodestone.sources import shared
 
 #: Code points in a passage at most, and up to which sentences are put together.
 LONGEST, TARGET = 1200, 700
@@ -174,7 +175,7 @@ def plan_windows(blocks: DataFrame, by: list[str], order: str, source: str = "so
                 out += [{**{k: r[k] for k in by}, "source": name, "block_id": r["block_id"], "window": i, "window_id": f"{name}-{i:04d}", "position": p, "has_context": fits} for p, r in enumerate(rows, 1)]
         return pd.DataFrame(out, columns=schema.names)
 
-    return slim.groupBy(*by).applyInPandas(plan, schema)
+    return shared.spread(slim, *by).groupBy(*by).applyInPandas(plan, schema)
 
 
 def halved(window_id: str, sizes: list[int], context: int, limit: int, estimate: Callable[[int], int]) -> Iterator[tuple[str, int, int, bool]]:

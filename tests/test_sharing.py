@@ -42,3 +42,8 @@ def test_texts_beyond_ascii_still_go_through_icu(spark):
 def test_places_of_studies_are_judged_once(spark):
     for name in ("j25_study_issues", "j25_study_reports"):
         assert plan(registry.QUERIES[name](spark, DATA)).count("ArrowEvalPython") == 1, name  # the records' digests
+
+
+def test_windows_keep_a_shuffles_partitions(spark):
+    made = registry.QUERIES["w04_plan_windows"](spark, DATA)
+    assert "REPARTITION_BY_NUM" in plan(made, "executedPlan") and made.count() == spark.read.parquet(f"{DATA}/conversations.parquet").count()
