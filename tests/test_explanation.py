@@ -33,3 +33,12 @@ def test_reasons(spark):
 
 def test_empty(spark):
     assert explanation.explanations(*tables(spark, [], [], [], [])).collect() == []
+
+
+def test_views_are_not_dealt_out(spark):
+    facts = [("p", side, k, "o", False, False) for side in ("truth", "prediction") for k in ("1", "2")]
+    asked = [("p", f"view {i}", "truth", k) for i in range(30) for k in ("1", "2")]
+    got = explanation.explanations(*tables(spark, facts, [("p", "1", "1", True, True, False)], [("p", "view 7", "1", "1")], asked))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(" in plan and not [x for x in plan.splitlines() if "hashpartitioning(" in x and "view#" in x.split("hashpartitioning(")[1].split(")")[0]]
+    assert sorted(r.view for r in got.where("reason = 'matched'").collect()) == ["view 7"] and got.count() == 60
