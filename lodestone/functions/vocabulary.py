@@ -144,6 +144,11 @@ def _key(text: Column) -> Column:
 
 def formula_text(text: Column) -> Column:
     """``scientific_text`` with numeric subscripts on the line, if the whole is a formula of elements."""
+    return let(tx.scientific_text(text), formula_of)
+
+
+def formula_of(own: Column) -> Column:
+    """``formula_text`` of a text that is ``scientific_text`` already."""
 
     def flat(own: Column) -> Column:
         out = F.translate(own, "₀₁₂₃₄₅₆₇₈₉", "0123456789")
@@ -151,7 +156,7 @@ def formula_text(text: Column) -> Column:
         return F.regexp_replace(out, r"(?<=[A-Za-z])\s+(?=[0-9])", "")
 
     whole = rf"^(?:[A-Z][a-z]?\s*(?:{_COEFFICIENT})?\s*)+$"
-    return let(tx.scientific_text(text), lambda own: let(flat(own), lambda x: F.when(x.rlike(whole), F.replace(x, F.lit(" "), F.lit(""))).otherwise(own)))
+    return F.when(own.rlike("^[A-Z]"), let(flat(own), lambda x: F.when(x.rlike(whole), F.replace(x, F.lit(" "), F.lit(""))).otherwise(own))).otherwise(own)
 
 
 def property_name(name: Column) -> Column:

@@ -20,12 +20,12 @@ ROUNDING = 16 * 2.0**-52
 
 def _linked(rows: DataFrame, links: DataFrame, of: str) -> DataFrame:
     """The facts below one end of each link, with the link."""
-    own = rows.withColumn("_context", F.to_json(F.array_sort(F.map_entries("context"))))
+    own = rows.withColumn("_context", F.sort_array(F.map_entries("context")))
     ends = links.select(*_KEY, F.struct("left_path", "right_path").alias("_link"), F.concat(of, F.lit("/")).alias("_below"))
     return own.join(ends, _KEY).where(F.col("path").startswith(F.col("_below"))).select(*_KEY, "_link", *_SAME, "path", "claim", "text")
 
 
-def copies(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def copies(rows: DataFrame, links: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(paper_id, side, path, copy_path) of facts that both ends of a link state, and (paper_id, side, path,
     other_path) of those that contradict each other.
 
@@ -33,20 +33,22 @@ def copies(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     left_path, right_path). Facts of one owner, name and context are the same if their values are; the
     k-th copy of a value on one end is the k-th on the other, so repeated values stay repeated. A
     value that is alone on its end, and whose only counterpart differs, is a contradiction. A path
-    below both ends, or a link to nothing, is no copy."""
+    below both ends, or a link to nothing, is no copy. The two tables come from one table of pairs, which is written to
+    ``folder``, if given, and else made for each."""
     left, right = _linked(rows, links, "left_path"), _linked(rows, links, "right_path")
     keys = [*_KEY, "_link", *_SAME]
-    both = left.select(*keys, F.struct("path", "claim", "text").alias("a")).join(right.select(*keys, F.struct("path", "claim", "text").alias("b")), keys).where("a.path <> b.path")
+    alone = Window.partitionBy(*keys)
+    a, b = (x.select(*keys, F.struct("path", "claim", "text", (F.count("*").over(alone) == 1).alias("alone")).alias(n)) for x, n in ((left, "a"), (right, "b")))
     texts = F.col("a.text").eqNullSafe(F.col("b.text")) & F.col("a.text").isNotNull()
-    equal = F.coalesce(F.when(F.col("a.claim").isNotNull() & F.col("b.claim").isNotNull(), qt.equal_claims(F.col("a.claim"), F.col("b.claim"), ROUNDING, 0.0)).otherwise(texts), F.lit(False))
-    place = lambda x: F.struct(F.length(f"{x}.path"), F.col(f"{x}.path"))
-    of = lambda x, y: F.row_number().over(Window.partitionBy(*_KEY, "_link", f"{x}.path").orderBy(place(y)))
-    pairs = both.withColumn("_equal", equal)
-    found = pairs.where("_equal").withColumn("_i", of("b", "a")).withColumn("_j", of("a", "b")).where("_i = _j")
-    found = found.select(*_KEY, "_link", F.col("a.path").alias("path"), F.col("b.path").alias("copy_path"))
-    alone = [x.groupBy(*keys).agg(F.count("*").alias(n)).where(f"{n} = 1") for x, n in ((left, "_n"), (right, "_m"))]
-    single = pairs.where(~F.col("_equal") & F.col("a.claim").isNotNull() & F.col("b.claim").isNotNull()).join(alone[0], keys).join(alone[1], keys)
-    return found.drop("_link").distinct(), single.select(*_KEY, F.col("a.path").alias("path"), F.col("b.path").alias("other_path")).distinct()
+    claimed = F.col("a.claim").isNotNull() & F.col("b.claim").isNotNull()
+    equal = F.coalesce(F.when(claimed, qt.equal_claims(F.col("a.claim"), F.col("b.claim"), ROUNDING, 0.0)).otherwise(texts), F.lit(False))
+    pairs = a.join(b, keys).where("a.path <> b.path").select(*keys, F.col("a.path").alias("path"), F.col("b.path").alias("other_path"), equal.alias("_equal"), (claimed & F.col("a.alone") & F.col("b.alone")).alias("_single")).where("_equal or _single")
+    place = lambda x: F.struct(F.length(x), F.col(x))
+    # what is counted within the keys of the join stays where the join has dealt it
+    of = lambda x, y: F.row_number().over(Window.partitionBy(*keys, x, "_equal").orderBy(place(y)))
+    told = pairs.withColumn("_i", of("other_path", "path")).withColumn("_j", of("path", "other_path")).where("not _equal or _i = _j").select(*_KEY, "path", "other_path", "_equal").distinct()
+    told = shared.written(told, f"{folder}/pairs") if folder else told
+    return told.where("_equal").select(*_KEY, "path", F.col("other_path").alias("copy_path")), told.where("not _equal").select(*_KEY, "path", "other_path")
 
 
 def representatives(edges: DataFrame, folder: str) -> DataFrame:
@@ -72,11 +74,11 @@ def representatives(edges: DataFrame, folder: str) -> DataFrame:
 def merged(rows: DataFrame, edges: DataFrame, folder: str) -> DataFrame:
     """``rows`` without the copies, with source_paths: of each fact that stays its own path and those of all its copies,
     in order. Edges to paths that no fact has are left out, so that no fact is lost."""
-    known = rows.select(*_KEY, "path").distinct()
+    ends = edges.select(*_KEY, F.explode(F.array("path", "copy_path")).alias("path")).distinct()
+    known = shared.written(ends.join(rows.select(*_KEY, "path"), [*_KEY, "path"], "left_semi"), f"{folder}/known")
     held = edges.join(known, [*_KEY, "path"], "left_semi").join(known.withColumnRenamed("path", "copy_path"), [*_KEY, "copy_path"], "left_semi")
     named = representatives(held, folder)
-    own = rows.join(named, [*_KEY, "path"], "left")
     paths = named.groupBy(*_KEY, F.col("representative").alias("path")).agg(F.collect_list("path").alias("_paths"))  # the copies of one fact of one paper
-    kept = own.where("representative is null or representative = path").drop("representative").join(paths, [*_KEY, "path"], "left")
-    others = F.array_sort(F.filter(F.coalesce("_paths", F.array()), lambda p: p != F.col("path")))
-    return kept.withColumn("source_paths", F.concat(F.array("path"), others)).drop("_paths")
+    own = rows.join(named.join(paths, [*_KEY, "path"], "left"), [*_KEY, "path"], "left")
+    others = F.array_sort(F.filter("_paths", lambda p: p != F.col("path")))
+    return own.where("representative is null or representative = path").drop("representative").withColumn("source_paths", F.when(F.col("_paths").isNull(), F.array("path")).otherwise(F.concat(F.array("path"), others))).drop("_paths")

@@ -115,6 +115,6 @@ def _(t):
     place = shared.folder(spark)
     rows = shared.written(rows, f"{place}/rows")
     links = rows.select("paper_id", "side").distinct().select("*", F.lit("/l").alias("left_path"), F.lit("/a").alias("right_path"))
-    found, against = merging.copies(rows, links)
+    found, against = merging.copies(rows, links, place)
     kept = merging.merged(rows, found, f"{place}/merged").join(against, ["paper_id", "side", "path"], "left")
     return kept.select(F.col("paper_id").alias("l_orderkey"), "path", F.array_join("source_paths", ",").alias("paths"), F.col("other_path").alias("contradiction"))

@@ -1,5 +1,6 @@
 """Copies of facts: matched one for one, contradictions told, chains merged to one fact with all its paths."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lodestone.functions import quantities as qt
@@ -39,3 +40,19 @@ def test_chains_are_one_fact(spark):
     assert kept == {("one", "/b/1"): ["/b/1", "/b/2", "/b/3"], ("two", "/b/1"): ["/b/1", "/b/3"], ("two", "/b/2"): ["/b/2"]}
     none = merging.merged(rows(spark), edges.limit(0), shared.folder(spark))
     assert none.count() == 2 * len(FACTS) and none.where("size(source_paths) <> 1").count() == 0
+
+
+def test_pairs_are_joined_once(spark):
+    links = spark.createDataFrame([("one", "truth", "/l/0", "/a/0")], "paper_id string, side string, left_path string, right_path string")
+    plain = merging.copies(rows(spark), links)
+    kept = merging.copies(rows(spark), links, shared.folder(spark))
+    for a, b in zip(plain, kept):
+        assert "Join" not in b._jdf.queryExecution().executedPlan().toString() and sorted(a.collect()) == sorted(b.collect()) != []
+
+
+def test_claims_of_a_batch_are_those_of_their_rows():
+    rows = [("5 nm", None, None), (None, 5.0, "nm"), ("5", 5.0, "nm"), ("5", 5.0, None), ("5 nm", None, None), ("1-2", None, "V"), ("5", None, "nm"), ("x", 5.0, "nm"), (None, None, None), ("5", 6.0, "nm")] * 3
+    kinds = (pa.string(), pa.float64(), pa.string())
+    read = qt._read_all(*[pa.array(x, t) for x, t in zip(zip(*rows), kinds)]).to_pylist()
+    assert read == [None if r[0] is None else dict.fromkeys(qt._CLAIM) | qt.read_claim(*r) for r in rows]
+    assert len(qt._read_all(*[pa.array([], t) for t in kinds])) == 0
