@@ -8,8 +8,10 @@ was not seen whole is asked for again."""
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import json
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,27 +44,59 @@ def folder_service(path: str) -> Callable[[str, str | None, str | None], dict]:
     return fetch
 
 
-def traversed(fetch: Callable[[str, str | None, str | None], dict], source: str, since: str | None) -> tuple[list[dict], str | None, int]:
-    """All entries of a source after ``since``, its new mark and the number of pages; an error if any page fails,
-    if a cursor or a page's entries come again, or if an answer has another form."""
-    entries, cursor, seen, pages, mark = [], None, set(), 0, since
+def traversed(fetch: Callable[[str, str | None, str | None], dict], source: str, since: str | None, keep: Callable[[list[str]], None]) -> tuple[str | None, int]:
+    """The new mark of a source and the number of its pages after ``since``; an error if any page fails, if a cursor
+    or a page's entries come again, or if an answer has another form. ``keep`` gets each page's entries as JSON;
+    of the pages before, only digests are held."""
+    cursor, seen, pages, mark = None, set(), 0, since
+
+    def came(kind: str, parts: list[str]) -> bool:
+        digest = hashlib.sha256("\n".join((kind, *parts)).encode("utf-8", "surrogatepass")).digest()
+        known = digest in seen
+        seen.add(digest)
+        return known
+
     while True:
         page = fetch(source, since, cursor)
         if not isinstance(page, dict) or not isinstance(page.get("entries"), list):
             raise ValueError(f"{source}: page {pages} has no list of entries")
         pages += 1
-        signature = ("page", json.dumps(page["entries"], sort_keys=True))
-        if page["entries"] and signature in seen:
+        entries = [json.dumps(e, sort_keys=True, ensure_ascii=False) for e in page["entries"]]  # no line breaks in them
+        if entries and came("page", entries):
             raise ValueError(f"{source}: page {pages - 1} came before")
-        seen.add(signature)
-        entries += page["entries"]
+        keep(entries)
         mark = max(filter(None, (mark, page.get("mark"))), default=None)
         cursor = page.get("next")
         if cursor is None:
-            return entries, mark, pages
-        if ("cursor", cursor) in seen:
+            return mark, pages
+        if came("cursor", [json.dumps(cursor)]):
             raise ValueError(f"{source}: cursor {cursor} came before")
-        seen.add(("cursor", cursor))
+
+
+class _Spool:
+    """Rows of one source in a temporary file of its task, in batches, until it is known that they count."""
+
+    def __init__(self, file, source: str):
+        self.file, self.source, self.waiting, self.n = file, source, [], 0
+        self.out = pa.ipc.new_stream(file, _batch([(None,) * 6]).schema)
+
+    def keep(self, entries: list[str]) -> None:
+        for entry in entries:
+            self.waiting.append((self.source, self.n, entry, None, None, None))
+            self.n += 1
+            if len(self.waiting) == 10_000:
+                self._write()
+
+    def _write(self) -> None:
+        if self.waiting:
+            self.out.write_batch(_batch(self.waiting))
+            self.waiting = []
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        self._write()
+        self.out.close()
+        self.file.seek(0)
+        yield from pa.ipc.open_stream(self.file)
 
 
 class _Source(InputPartition):
@@ -92,15 +126,15 @@ class FeedReader(DataSourceReader):
             return
         kind, _, where = self.service.partition(":")
         fetch = folder_service(where) if kind == "folder" else getattr(importlib.import_module(kind), where)
-        try:
-            entries, mark, pages = traversed(fetch, source, since)
-        except Exception as error:  # this source's, whatever it is
-            yield _batch([(source, None, None, since, None, f"{type(error).__name__}: {error}")])
-            return
-        rows = [(source, i, json.dumps(e, sort_keys=True, ensure_ascii=False), None, None, None) for i, e in enumerate(entries)]
-        for at in range(0, len(rows), 10_000):
-            yield _batch(rows[at : at + 10_000])
-        yield _batch([(source, None, None, mark, pages, None)])
+        with tempfile.TemporaryFile() as file:
+            spool = _Spool(file, source)
+            try:
+                mark, pages = traversed(fetch, source, since, spool.keep)
+            except Exception as error:  # this source's, whatever it is
+                yield _batch([(source, None, None, since, None, f"{type(error).__name__}: {error}")])
+                return
+            yield from spool.batches()
+            yield _batch([(source, None, None, mark, pages, None)])
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -113,7 +147,7 @@ class FeedSource(DataSource):
     ``<module>:<function>``, which executors can import) and sources (JSON: [[source, mark], ...]).
 
     A row for each entry; of each source also one row without an entry: its new mark and the pages
-    read, or its error. A source's entries are held by its task until its last page has come."""
+    read, or its error. A source's entries wait in a temporary file of its task until its last page has come."""
 
     @classmethod
     def name(cls) -> str:

@@ -1,6 +1,7 @@
 """Runs over paged sources: whole traversals only, failures apart, marks that move with what was read."""
 
 import json
+import tracemalloc
 
 import pytest
 
@@ -60,3 +61,27 @@ def test_filters_leave_out_sources(spark, service):
         feeds.read_sources(spark, "folder:x", [("a", None), ("a", None)])
     lines = spark.createDataFrame([("# feeds",), (" http://a ",), ("",), ("http://b",)], "value string")
     assert feeds.declared(lines) == ["http://a", "http://b"]
+
+
+def many(source, since, cursor):
+    """400 pages of 500 entries; the source named short fails at the last one."""
+    k = int(cursor or 0)
+    if source == "short" and k == 399:
+        raise OSError("gone")
+    return {"entries": [{"id": f"{k}-{i}", "text": "x" * 100} for i in range(500)], "next": str(k + 1) if k < 399 else None, "mark": f"{k:03}"}
+
+
+def test_a_source_is_not_held_in_memory():
+    reader = feeds.FeedReader(f"{__name__}:many", [("long", None), ("short", None)])
+    tracemalloc.start()
+    n, last = 0, None
+    for batch in reader.read(feeds._Source("long", None)):
+        if batch["position"][0].is_valid:
+            assert batch["position"][0].as_py() == n and json.loads(batch["entry"][0].as_py())["id"] == f"{n // 500}-{n % 500}"
+            n += batch.num_rows
+        last = batch
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200_000 and last.to_pylist() == [{"source": "long", "position": None, "entry": None, "mark": "399", "pages": 400, "error": None}]
+    assert peak < 16_000_000  # the entries are 24 MB of text
+    assert [b.to_pylist()[0]["error"] for b in reader.read(feeds._Source("short", None))] == ["OSError: gone"]
