@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import grounding as gr
 from lodestone.operators import records
+from lodestone.sources import shared
 
 # Kinds of records that objects of a role become.
 RECORD_OF_ROLE = {"device_design": "device_family", "individual_device": "individual_device", "population": "population_statistic", "performance_measurement": "performance_observation", "stability_experiment": "stability_test"}
 
+#: Quotes of a paper that are held against its blocks in one task.
+_SHARE = 500
+
 
 def grounded_citations(citations: DataFrame, blocks: DataFrame) -> DataFrame:
     """The citations whose quote stands in their block, by what counts in values."""
@@ -99,19 +103,26 @@ def object_coverage(objects: DataFrame, citations: DataFrame, recorded: DataFram
     return items.unionByName(free)
 
 
-def relinked(citations: DataFrame, blocks: DataFrame) -> DataFrame:
+def relinked(citations: DataFrame, blocks: DataFrame, folder: str | None = None) -> DataFrame:
     """``citations`` with new_block_id and status: kept where the quote stands in its block; relinked where it
     stands in exactly one block of the paper; else unresolved. Quotes of fewer than 12 counted characters or of
     one word are not searched for.
 
-    Only the wrong citations are joined with the blocks of their paper, by paper."""
+    Only the wrong citations are joined with the blocks of their paper: each text and quote is folded once, and a pair is judged
+    only if the one holds the other's ``spine``. A paper's quotes are dealt by _SHARE, so that a large one is many
+    tasks' work. What the blocks say is judged once if it may be written to ``folder``, and else twice."""
     own = citations.join(blocks.select("paper_id", "block_id", F.col("text").alias("_t")), ["paper_id", "block_id"], "left")
     wide = (F.length(gr.folded(F.col("quote"))) >= 12) & (F.size(F.regexp_extract_all("quote", F.lit(r"(?U)\w+"), F.lit(0))) >= 2)
     judged = own.withColumn("_ok", F.col("_t").isNotNull() & gr.contains_quote(F.col("_t"), F.col("quote"))).withColumn("_long", wide).drop("_t")
+    judged = shared.written(judged, f"{folder}/judged") if folder else judged
     asked = judged.where(~F.col("_ok") & F.col("_long")).select("paper_id", "quote").distinct()
-    found = asked.join(blocks.select("paper_id", F.col("block_id").alias("_b"), "text"), "paper_id").where(gr.contains_quote(F.col("text"), F.col("quote")))
-    found = found.groupBy("paper_id", "quote").agg(F.countDistinct("_b").alias("_n"), F.min("_b").alias("_new"))  # where a quote stands is a matter of the quote, not of the row
-    one = F.col("_n") == 1
+    shares = asked.groupBy("paper_id").agg(F.ceil(F.count("*") / _SHARE).cast("int").alias("_n"))
+    dealt = asked.join(shares, "paper_id").withColumn("_share", F.pmod(F.xxhash64("quote"), F.col("_n")).cast("int")).withColumn("_spine", gr.spine(F.col("quote"))).drop("_n")
+    texts = blocks.groupBy("paper_id", "text").agg(F.min("block_id").alias("_first"), F.max("block_id").alias("_last")).join(shares, "paper_id")
+    texts = texts.withColumn("_bare", gr.without_dashes(F.col("text"))).withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+    found = dealt.join(texts, ["paper_id", "_share"]).where(F.contains("_bare", "_spine")).where(gr.contains_quote(F.col("text"), F.col("quote")))
+    found = found.groupBy("paper_id", "quote").agg(F.min("_first").alias("_new"), F.max("_last").alias("_last"))  # where a quote stands is a matter of the quote, not of the row
+    one = F.coalesce(F.col("_new") == F.col("_last"), F.lit(False))
     status = F.when(F.col("_ok"), "kept").when(~F.col("_long"), "too_short").when(one, "relinked").otherwise("unresolved")
     moved = F.when(F.col("_ok"), F.col("block_id")).when(F.col("_long") & one, F.col("_new"))
     return judged.join(found, ["paper_id", "quote"], "left").select(*citations.columns, moved.alias("new_block_id"), status.alias("status"))

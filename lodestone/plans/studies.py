@@ -267,7 +267,7 @@ def _(t):
 def _(t):
     turns = t("conversations").select(F.col("conv_id").alias("paper_id"), F.col("turn").alias("block_id"), F.coalesce("text", F.lit("")).alias("text"))
     noted = turns.select("paper_id", (F.col("block_id") + 1).alias("block_id"), F.col("text").alias("quote"))  # each text is cited as the next block's
-    return claims.relinked(noted, turns).select("paper_id", "block_id", "new_block_id", "status")
+    return claims.relinked(noted, turns, shared.folder(turns.sparkSession)).select("paper_id", "block_id", "new_block_id", "status")
 
 
 @query("v01_id_issues", "SELECT conv_id AS paper_id, role AS id, 'repeated' AS issue FROM conversations GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL SELECT DISTINCT conv_id, 'nobody', 'no such subject' FROM conversations WHERE turn = 0")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import grounding as gr
 from lodestone.operators import claims, constraints, facts, nested, passages, projections, review
-from lodestone.sources import files
+from lodestone.sources import files, shared
 
 
 def value(name, raw, number=None, unit=None):
@@ -246,3 +246,26 @@ def test_events_of_an_interrupted_writer(spark, tmp_path):
                 files.read_events(spark, str(tmp_path / name)).collect()
         else:
             assert files.read_events(spark, str(tmp_path / name)).count() == n, name
+
+
+def test_a_spine_stands_wherever_a_quotation_does(spark):
+    texts = ["the gap is 1.5±0.1 eV here", "the gap is 1.5士0.1 eV here", "the gap is 1.50.1 eV here", "well-known spin-coating was used", "wellknown spincoating was used", "ＳＰＩＮ－coating, used", "Straße ﬁlm of TiO2", "STRASSE film of TiO2", "a – b", "±", "", "...", "12.5±", None]
+    pairs = [(a, b) for a in texts for b in texts]
+    rows = spark.createDataFrame(pairs, "source string, quote string").select("*", gr.contains_quote(F.col("source"), F.col("quote")).alias("held"), F.contains(gr.without_dashes(F.col("source")), gr.spine(F.col("quote"))).alias("may")).collect()
+    assert len({(r.source, r.quote) for r in rows if r.held and r.source != r.quote}) >= 6 and not [r for r in rows if r.held and not r.may]
+    assert [r for r in rows if not r.may]
+
+
+def test_a_large_paper_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(claims, "_SHARE", 3)
+    turns = [("p", i, f"block number {i // 2 if i < 10 else i} of the paper") for i in range(40)] + [("p", 50, "one word"), ("q", 1, "block number 12 of the paper")]
+    blocks = spark.createDataFrame(turns, "paper_id string, block_id long, text string")
+    cited = blocks.select("paper_id", (F.col("block_id") + 1).alias("block_id"), F.col("text").alias("quote"))
+    got = claims.relinked(cited, blocks)
+    assert "_share" in got._jdf.queryExecution().executedPlan().toString()
+    rows = {(r.paper_id, r.block_id): (r.new_block_id, r.status) for r in got.collect()}
+    kept = lambda i: i < 10 and i % 2 == 0
+    assert {k[1] - 1: v for k, v in rows.items() if k[0] == "p" and k[1] < 50} == {i: (i + 1, "kept") if kept(i) else (None, "unresolved") if i < 10 else (i, "relinked") for i in range(40)}
+    assert rows["q", 2] == (1, "relinked") and rows["p", 51] == (None, "too_short")
+    again = claims.relinked(cited, blocks, shared.folder(spark))
+    assert sorted(map(tuple, again.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
