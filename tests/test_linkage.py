@@ -144,3 +144,41 @@ def test_blocks_keep_a_shuffles_partitions(spark):
     assert shared.spread(pairs, "k").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = linkage.one_to_one(pairs, ["k"], "x", "y", "s")
     assert found.count() == 50 and "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_blocks_are_solved_in_tiles(spark, monkeypatch):
+    """Blocks beyond a matrix: tiles and rounds give the same sum, and the dense solver is not asked."""
+    rng = np.random.default_rng(11)
+
+    def side(start, count):
+        return [(b, start + i // 2 if i < 6 else start + i, [f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 30)) % 60]) for b in ("p", "q") for i in range(count)]
+
+    a, b = spark.createDataFrame(side(0, 90), "b string, l long, w array<string>"), spark.createDataFrame(side(1000, 70), "b string, r long, w array<string>")
+    dense = linkage.set_matches(a, b, ["b"], "l", "r", "w", 0.05).collect()
+    for x, y in ((a, b), (b.withColumnRenamed("r", "l"), a.withColumnRenamed("l", "r"))):
+        with monkeypatch.context() as patch:
+            patch.setattr(linkage, "DENSE", 100)
+            patch.setattr(linkage, "TILE", 40)
+            patch.setattr(linkage, "NEAREST", 1)
+            tiled = linkage.set_matches(x, y, ["b"], "l", "r", "w", 0.05)
+        assert tiled.schema.names == ["b", "l", "r", "score"]
+        tiled = tiled.collect()
+        assert len({(r.b, r.l) for r in tiled}) == len({(r.b, r.r) for r in tiled}) == len(tiled)
+        pairs = x.join(y.withColumnRenamed("w", "v"), ["b"]).withColumn("score", linkage.jaccard(F.array_distinct("w"), F.array_distinct("v")).cast("double"))
+        scored = {(r.b, r.l, r.r): r.score for r in pairs.groupBy("b", "l", "r").agg(F.max("score").alias("score")).collect()}
+        assert all(r.score == scored[r.b, r.l, r.r] >= 0.05 for r in tiled)
+        assert abs(sum(r.score for r in tiled) - sum(r.score for r in dense)) < 1e-8
+
+
+def test_auction_is_optimal():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        n, m = rng.integers(1, 7, 2)
+        scores = rng.integers(0, 6, (n, m)) / 6
+        i, j = np.nonzero(scores)
+        mate = rng.permutation(max(n, m))[:n]
+        mate, price, gain = linkage.auction(i, j, scores[i, j], rng.random(m), np.where(mate < m, mate, -1), 0.02, 1e-11)
+        taken = mate[mate >= 0]
+        assert len(set(taken)) == len(taken)
+        total = sum(scores[x, y] for x, y in enumerate(mate) if y >= 0)
+        assert abs(total - best(scores)) < 1e-9 and abs(price.sum() + gain.sum() - total) < 1e-9
