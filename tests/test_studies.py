@@ -192,6 +192,12 @@ def test_documents():
             nested.edit({"a": [1]}, action, pointer, 0)
 
 
+def test_agreement_of_scalars(spark):
+    left = spark.createDataFrame([(1, '{"label": "Straße", "n": [1, 2]}'), (2, '{"label": "cell A"}'), (3, None)], "paper int, doc string")
+    right = spark.createDataFrame([(1, '{"label": "STRASSE", "n": [2, 3]}'), (1, '{"label": "x"}'), (2, '{"label": "CELL  a"}')], "paper int, doc string")
+    assert {tuple(r) for r in nested.scalar_agreement(left, right, ["paper"], "doc").collect()} == {(1, 4, 2), (2, 1, 1)}
+
+
 def test_legacy_absorbers(spark):
     part = "struct<evidence:array<struct<block_id:string,quote:string>>>"
     schema = f"family_id string, layers array<struct<layer_id:string,role:string,material:string>>, evidence array<struct<block_id:string,quote:string>>, absorber_formula {part}, absorber_properties array<{part}>, absorber_constituents array<{part}>"
