@@ -41,8 +41,8 @@ _GROUP = f"struct<head:array<string>,conditions:{_NAMED}>"
 
 def _names(studies: DataFrame) -> DataFrame:
     """(paper_id, side, names): the texts of a study that name a value or a material, each with what it is
-    called among properties, conditions, treatments and materials. The vocabulary is asked once a text of a
-    study, by one expression each, wherever the text stands."""
+    called among properties, conditions, treatments and materials. The vocabulary is asked once a text,
+    by one expression each, however many studies hold it."""
     study = lambda path: F.col(f"study.{path}")
     none = "array<string>"
 
@@ -68,7 +68,8 @@ def _names(studies: DataFrame) -> DataFrame:
     each = studies.select("paper_id", "side", F.explode(F.array_distinct(held)).alias("text")).where("text is not null")
     text = F.col("text")
     own = F.struct(vo.property_name(text).alias("property"), vo.protocol_name(text).alias("protocol"), vo.treatment_name(text).alias("treatment"), vo.material_name(text).alias("material"))
-    return each.select("paper_id", "side", F.struct(text.alias("key"), own.alias("value")).alias("e")).groupBy("paper_id", "side").agg(F.map_from_entries(F.collect_list("e")).alias("names"))
+    known = shared.spread(each.select("text").distinct(), "text").select("text", own.alias("value"))
+    return each.join(known, "text").select("paper_id", "side", F.struct(text.alias("key"), F.col("value")).alias("e")).groupBy("paper_id", "side").agg(F.map_from_entries(F.collect_list("e")).alias("names"))
 
 
 def _called(text: Column, kind: str) -> Column:

@@ -46,6 +46,40 @@ def test_one_to_one(spark):
     assert rows == {("x", 1, 11), ("x", 2, 10)}
 
 
+def test_blocks_are_settled_many_at_once():
+    """Blocks where everybody likes another partner best need no matrix, and all blocks give what their matrices give."""
+    rng = np.random.default_rng(3)
+    tables = [rng.integers(0, 6, rng.integers(1, 5, 2)) / 5 for _ in range(300)] + [np.eye(4) + 0.3]
+    cells = [(k + 1, i, j, x) for k, table in enumerate(tables) for (i, j), x in np.ndenumerate(table) if x > 0]
+    cells += [(k, i, j, x / 2) for k, i, j, x in cells[::3]]  # a pair that repeats counts with its best score
+    rng.shuffle(cells)
+    cells.sort(key=lambda c: c[0])
+    blocks, left, right, score = (np.array(x) for x in zip(*cells))
+    place = {k: n - 1 for n, k in enumerate(np.unique(blocks))}
+    numbers = np.searchsorted(np.unique(blocks), blocks) + 1
+    at, loose = linkage._settle(numbers, left.astype(int), right.astype(int), score, True)
+    got = {}
+    for n, free in zip(at, loose):
+        got.setdefault(int(blocks[n]), {})[int(left[n])] = (int(right[n]), float(score[n]), bool(free))
+    for k in place:
+        table = tables[int(k) - 1]
+        chosen, free = linkage.assign_unambiguously(table)
+        own = got.get(int(k), {})
+        assert len({j for j, _, _ in own.values()}) == len(own) and all(x == table[i, j] for i, (j, x, _) in own.items())
+        assert abs(sum(x for _, x, _ in own.values()) - sum(table[i, j] for i, j in enumerate(chosen) if j >= 0)) < 1e-9
+        clear = {(i, int(chosen[i])) for i in np.flatnonzero(chosen >= 0) if not free[i] and table[i, chosen[i]] > 0}
+        assert {(i, j) for i, (j, _, f) in own.items() if not f} == clear
+
+
+def test_easy_blocks_ask_for_no_matrix(monkeypatch):
+    monkeypatch.setattr(linkage, "assign_unambiguously", None)
+    square = np.eye(5) + 0.3
+    n = np.repeat(np.arange(40), 25) + 1
+    i, j = (np.tile(x.ravel(), 40) for x in np.indices((5, 5)))
+    at, loose = linkage._settle(n, i, j, np.tile(square.ravel(), 40), True)
+    assert len(at) == 200 and not loose.any() and (i[at] == j[at]).all()
+
+
 def test_assignment_query_reads_whole_texts(spark, tmp_path):
     head = " ".join(f"w{i}" for i in range(600))  # over 2,000 characters, the same in all
     tails = {1: "a", 2: "b", 21: "b", 22: "a"}
