@@ -309,32 +309,45 @@ def similarity(pairs: DataFrame, relative: float = 0.01, absolute: float = 0.0)
     def agree(x: Column, y: Column) -> Column:
         return (x["name"] == y["name"]) & qt.equal_claims(x["claim"], y["claim"], relative, absolute)
 
-    # groups: heads alike, and the conditions of each one to one
-    first = {x: F.get(F.col(f"{x}.groups"), F.lit(0)) for x in "ab"}
     both = (F.coalesce(F.size("a.groups"), F.lit(0)) > 0) & (F.coalesce(F.size("b.groups"), F.lit(0)) > 0)
     one = both & (F.size("a.groups") == 1) & (F.size("b.groups") == 1)
-    alone = F.when(one & (F.size("a.inputs") == F.size("b.inputs")), _edges(F.col("a.inputs"), F.col("b.inputs"), agree))
+    few = lambda field: (F.size(f"a.{field}") <= 1) & (F.size(f"b.{field}") <= 1)
+    # lists of one entry at most need no matching, and no Python: these are most pairs
+    plain = F.coalesce((F.col("a.stack").isNull() | F.col("b.stack").isNull()) & few("protocol") & (~both | (one & few("inputs"))), F.lit(False))
     heads = lambda g, h: F.forall(F.arrays_zip(g["head"].alias("x"), h["head"].alias("y")), lambda z: z["x"].eqNullSafe(z["y"]))
+    first = {x: F.get(F.col(f"{x}.groups"), F.lit(0)) for x in "ab"}
+    stated = (F.size("a.protocol") > 0) | (F.size("b.protocol") > 0)
+
+    def content(ordered: Column, alone: Column, many: Column, same: Column) -> Column:
+        told = F.when(both, F.when(one, heads(first["a"], first["b"]) & F.coalesce(alone, F.lit(False))).otherwise(F.coalesce(many, F.lit(False))).cast("double"))
+        shared_ = F.size(F.array_intersect("a.features", "b.features")) + (stated & F.coalesce(same, F.lit(False))).cast("int")
+        total = F.size(F.array_union("a.features", "b.features")) + F.when(stated, F.when(F.coalesce(same, F.lit(False)), 1).otherwise(2)).otherwise(0)
+        return F.coalesce(ordered, told, F.when(total == 0, 1.0).otherwise(shared_ / total))
+
+    x, y = (F.get(F.col(f"{side}.inputs"), F.lit(0)) for side in "ab")
+    alone = F.when(F.size("a.inputs") == F.size("b.inputs"), (F.size("a.inputs") == 0) | F.coalesce(agree(x, y), F.lit(False)))
+    x, y = (F.get(F.col(f"{side}.protocol"), F.lit(0)) for side in "ab")
+    same = ~F.coalesce(x["name"] == y["name"], F.lit(False)) | F.coalesce(agree(x, y), F.lit(False))
+    easy = pairs.where(plain).withColumn("_c", content(F.lit(None).cast("double"), alone, F.lit(None).cast("boolean"), same))
+    easy = _settled(easy, content=F.col("_c")).drop("_c")  # else a condition on it would be pushed below the join's shuffle, and it be computed twice
+
+    # groups: heads alike, and the conditions of each one to one
+    alone = F.when(one & (F.size("a.inputs") == F.size("b.inputs")), _edges(F.col("a.inputs"), F.col("b.inputs"), agree))
     # several subjects: each condition must have an equal one in the other subject's list, both ways
     inner = lambda i, j: (F.size(i) == F.size(j)) & F.forall(i, lambda x: F.exists(j, lambda y: agree(x, y))) & F.forall(j, lambda y: F.exists(i, lambda x: agree(x, y)))
     own = {x: F.transform(F.col(f"{x}.groups"), _with_own(x)) for x in "ab"}
     many = _edges(own["a"], own["b"], lambda p, q: heads(p["g"], q["g"]) & inner(p["k"], q["k"]))
     many = F.when(both & ~one & (F.size("a.groups") == F.size("b.groups")), many)
-    told = F.when(both, F.when(one, heads(first["a"], first["b"]) & F.coalesce("_one", F.lit(False))).otherwise(F.coalesce("_many", F.lit(False))).cast("double"))
     # protocols: of the names that both state
     names = F.array_intersect(F.transform("a.protocol", lambda x: x["name"]), F.transform("b.protocol", lambda x: x["name"]))
-    out = _settled(pairs, _names=names)
+    out = _settled(pairs.where(~plain), _names=names)
     out = _settled(out, **{f"_{x}_p": F.filter(F.col(f"{x}.protocol"), lambda p: F.array_contains("_names", p["name"])) for x in "ab"})
     out = _settled(out, _one=alone, _many=many, _same=F.when(F.size("_a_p") == F.size("_b_p"), _edges(F.col("_a_p"), F.col("_b_p"), agree)))
     out = out.withColumns({n: _matched(F.col(n)) for n in ("_one", "_many", "_same")})
-    stated = (F.size("a.protocol") > 0) | (F.size("b.protocol") > 0)
-    same = F.coalesce("_same", F.lit(False))
-    shared_ = F.size(F.array_intersect("a.features", "b.features")) + (stated & same).cast("int")
-    total = F.size(F.array_union("a.features", "b.features")) + F.when(stated, F.when(same, 1).otherwise(2)).otherwise(0)
     out = out.withColumn("_x", F.col("a.stack")).withColumn("_y", F.col("b.stack"))
     ordered = linkage.stack_similarity("_x", "_y", F.col("a.variant"), F.col("b.variant"))
-    content = F.coalesce(ordered, told, F.when(total == 0, 1.0).otherwise(shared_ / total))
-    return out.withColumn("content", content).drop("_x", "_y", "_same", "_names", "_one", "_many", "_a_p", "_b_p")
+    out = out.withColumn("content", content(ordered, F.col("_one"), F.col("_many"), F.col("_same")))
+    return easy.unionByName(out.drop("_x", "_y", "_same", "_names", "_one", "_many", "_a_p", "_b_p"))
 
 
 def _with_own(side: str):

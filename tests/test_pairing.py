@@ -114,3 +114,32 @@ def test_repeated_keys_are_refused(spark, found):
         pairing.paired(found[0].union(found[0].where("paper_id = 'gate' and side = 'truth'")), shared.folder(spark))
     with pytest.raises(Exception, match="repeated record"):
         pairing.paired(found[0].union(found[0].where(F.col("paper_id") == "codes")), shared.folder(spark))
+
+
+def test_plain_pairs_ask_no_python(spark, monkeypatch):
+    """Lists of one entry at most are compared in SQL; longer ones, and what is told by them, as before."""
+    from lodestone.functions import quantities as qt
+
+    def one(name, number):
+        return F.struct(F.lit(name).alias("name"), qt.claim(F.lit(f"{number} V"), F.lit(float(number)), F.lit("V")).alias("claim"))
+
+    held = {"none": [], "a": [one("n", 10)], "near": [one("n", 10.05)], "far": [one("n", 20)], "other": [one("m", 10)], "both": [one("n", 10), one("m", 10)]}
+    empty = F.array().cast("array<struct<name:string,claim:" + spark.range(1).select(one("n", 1)["claim"].alias("c")).schema["c"].dataType.simpleString() + ">>")
+    features = F.array(F.lit("x:1"), F.lit("y:2"))
+
+    def side(name):
+        entries = held[name]
+        none = F.lit(None)
+        return F.struct(features.alias("features"), none.cast("array<string>").alias("stack"), none.cast("string").alias("variant"), none.cast("array<struct<head:array<string>,n:int>>").alias("groups"), empty.alias("inputs"), (F.array(*entries) if entries else empty).alias("protocol"))
+
+    def of(x, y):
+        return pairing.similarity(spark.range(1).select(side(x).alias("a"), side(y).alias("b"))).first()["content"]
+
+    assert [of("a", x) for x in ("a", "near", "far", "other", "none", "both")] == [1.0, 1.0, 0.5, 1.0, 1.0, 1.0]
+    assert (of("both", "both"), of("none", "none"), of("far", "both")) == (1.0, 1.0, 0.5)
+
+    def refuse(edges):
+        raise AssertionError("a plain pair was matched in Python")
+
+    monkeypatch.setattr(pairing, "_matched", F.udf(refuse, "boolean").asNondeterministic())
+    assert of("a", "far") == 0.5
