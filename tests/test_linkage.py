@@ -204,6 +204,20 @@ def test_large_blocks_are_solved_in_tiles(spark, monkeypatch):
         assert abs(sum(r.score for r in tiled) - sum(r.score for r in dense)) < 1e-8
 
 
+def test_tiles_are_read_and_not_sent(spark, monkeypatch):
+    """Sets are shuffled once, whatever the number of tiles; the old way sent each to all tiles of the other side."""
+    rng = np.random.default_rng(2)
+    rows = [("p", i, [f"word{int(x)}" for x in rng.integers(0, 4000, 40)]) for i in range(400)]
+    a, b = spark.createDataFrame(rows[::2], "b string, l long, w array<string>"), spark.createDataFrame(rows[1::2], "b string, r long, w array<string>")
+    monkeypatch.setattr(linkage, "DENSE", 100)
+    monkeypatch.setattr(linkage, "TILE", 20)
+    seen = []
+    real = linkage.shared.spread
+    monkeypatch.setattr(linkage.shared, "spread", lambda df, *by: seen.append(df) or real(df, *by))
+    linkage.set_matches(a, b, ["b"], "l", "r", "w", 0.0).collect()
+    assert sum(df.count() for df in seen if "_w" in df.columns) == 400
+
+
 def test_auction_is_optimal():
     rng = np.random.default_rng(7)
     for _ in range(200):
