@@ -106,6 +106,19 @@ def _counted(text):
     return "".join(out)
 
 
+def test_plain_values_need_no_pattern(spark, monkeypatch):
+    """What stands alone in plain text is found without a pattern; all else is judged as before."""
+    texts = ["a 1.2 V", "a 1.2 V. b", "1.2 V", "a -1.2 V", "a 1.2 V.5", "a 1.2 V-", "a 1.2 V+ b", "a 1.2 Va", "11.2 V", "a 1.2  V", "a 1.2 V\u0301", "a \u22121.2 V b", "", "b 1.2 V, c", "1.2 V .", None]
+    values = ["1.2 V", "1.2", "V", " 1.2 V", "", "1.2 V.", "-1.2 V", "\\Q", None]
+    rows = spark.createDataFrame([(t, v) for t in texts for v in values], "t string, v string")
+    both = lambda: rows.select("t", "v", gr.contains_value(F.col("t"), F.col("v")).alias("x"), gr.contains_quote(F.col("t"), F.col("v")).alias("y")).collect()
+    quick = both()
+    assert rows.where(gr._stands_alone(F.col("v"), F.col("t"))).count() > 20
+    monkeypatch.setattr(gr, "_stands_alone", lambda v, t: F.lit(False))
+    monkeypatch.setattr(gr, "_ascii", lambda t: F.lit(False))
+    assert quick == both()
+
+
 def test_folding(spark):
     rng = random.Random(1)
     points = [chr(x) for x in (*range(0x20, 0x250), *range(0x2010, 0x2060), 0x2212, 0xFF0D, 0xFE63, 0x1E9E, 0xFB01, 0x2126, 0x3C2)]
